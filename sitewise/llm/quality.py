@@ -113,6 +113,23 @@ def _grow(x: np.ndarray, bad: np.ndarray) -> list[tuple[int, str, float]]:
     return rule
 
 
+def _settle(x: np.ndarray, bad: np.ndarray, rule: list[tuple[int, str, float]]) -> list[tuple[int, str, float]]:
+    """Move each threshold into the gap: half-way from the nearest row it leaves out to the
+    covered bad rows' 5 % quantile, so that a good row just past the sample's edge stays out."""
+    settled = list(rule)
+    for i, (f, op, t) in enumerate(rule):
+        others = _covers(x, settled[:i] + settled[i + 1:])
+        on = others & _covers(x, [settled[i]])
+        if not (on & bad).any() or not (others & ~on).any():
+            continue
+        if op == ">":
+            inner, outer = np.quantile(x[on & bad, f], 0.05), x[others & ~on, f].max()
+        else:
+            inner, outer = np.quantile(x[on & bad, f], 0.95), x[others & ~on, f].min()
+        settled[i] = (f, op, float((inner + outer) / 2))
+    return settled
+
+
 def learn_rules(x: np.ndarray, bad: np.ndarray, seed: int = 7) -> list[list[tuple[int, str, float]]]:
     """Rules for ``bad`` rows by sequential covering, each (feature index, operator, threshold) terms."""
     grow = np.random.default_rng(seed).random(len(x)) < 2 / 3
@@ -134,6 +151,7 @@ def learn_rules(x: np.ndarray, bad: np.ndarray, seed: int = 7) -> list[list[tupl
         on = _covers(x[held], rule) if rule else np.zeros(held.sum(), bool)
         if not rule or on.sum() < MIN_COVER or bad[held][on].mean() < MIN_PRECISION:
             break
+        rule = _settle(x[left], bad[left], rule)
         rules.append(rule)
         left &= ~_covers(x, rule)
     return rules
