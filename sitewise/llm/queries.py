@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, quality, secrets
+from ..shared import new_path
+from . import bpe, chat, mixing, quality, secrets, toxicity, warc
+
+#: The public tokenizer of op4 and the pipeline.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +25,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of their decoded text."""
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), TOKENIZER)
+    return coded.select(
+        "doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all conversations, read back from their formatted text."""
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -66,6 +79,31 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from a content-addressed archive."""
+    path = new_path(spark, "warc")
+    warc.write_archive(_table(spark, sf_dir, "pages"), path)
+    return warc.read_archive(spark, path).select(
+        warc.page_of(warc.header_field("WARC-Record-ID")).alias("page_id"), F.length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"), warc.header_field("WARC-Type").alias("record_type"),
+        warc.page_of(warc.header_field("WARC-Refers-To")).alias("refers_to"))
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT *, sha1(payload) AS payload_digest, max(page_id) OVER (PARTITION BY payload) AS keeper FROM p)
+SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN octet_length(payload) >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN octet_length(payload) >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
+FROM d
+"""
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.judge_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document to meet the sources' targets."""
     return mixing.mix(_table(spark, sf_dir, "documents")).select(
@@ -116,11 +154,14 @@ FROM sized s JOIN limits l ON l.source IS NOT DISTINCT FROM s.source
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_quality_rules": op2_quality_rules,
+        "op4_bpe": op4_bpe,
         "op5_chat_format": op5_chat_format,
         "op6_secret_scan": op6_secret_scan,
+        "op7_warc": op7_warc,
+        "op9_toxicity": op9_toxicity,
         "op10_source_mix": op10_source_mix,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": OP5_SQL, "op10_source_mix": OP10_SQL}
+    return {"op5_chat_format": OP5_SQL, "op7_warc": OP7_SQL, "op10_source_mix": OP10_SQL}
