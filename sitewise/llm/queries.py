@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import new_path
-from . import bpe, chat, mixing, quality, secrets, toxicity, warc
+from . import bpe, chat, mixing, quality, secrets, toxicity, vectors, warc
 
 #: The public tokenizer of op4 and the pipeline.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -99,6 +99,11 @@ FROM d
 """
 
 
+def op8_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.95."""
+    return vectors.link_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.judge_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -158,6 +163,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_chat_format": op5_chat_format,
         "op6_secret_scan": op6_secret_scan,
         "op7_warc": op7_warc,
+        "op8_embedding_near_dup": op8_embedding_near_dup,
         "op9_toxicity": op9_toxicity,
         "op10_source_mix": op10_source_mix,
     }
