@@ -121,6 +121,24 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def mix_limits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> tuple[DataFrame, DataFrame]:
+    """(sized, limits): id, source, hash and size of every row; target and threshold of every source."""
+    sized = materialize(
+        docs.select(
+            F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+            row_hash(seed, F.col(id_col), F.col(text_col)).alias("hash"), word_count(F.col(text_col)).alias("size"),
+        ),
+        "mix-sizes",
+    )
+    limits = materialize(thresholds(sized, source_targets(sized)), "mix-limits").withColumnRenamed("source", "of")
+    return sized, F.broadcast(limits) if limits.count() <= MAX_BROADCAST_SOURCES else limits
+
+
+def copies() -> Column:
+    """How often the mix takes a row, by its hash and its source's limits; at most 3 times."""
+    return F.least(F.col("repeats") + F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0), F.lit(3))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
     """(doc_id, source, hash, size, source_size, target, copies, taken) for every row of ``docs``.
 
@@ -129,19 +147,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     one source, last in order. Equal (id, text) rows are tied: they get the same copies.
     An empty table gives an empty result. Other columns are ignored.
     """
-    sized = materialize(
-        docs.select(
-            F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-            row_hash(seed, F.col(id_col), F.col(text_col)).alias("hash"), word_count(F.col(text_col)).alias("size"),
-        ),
-        "mix-sizes",
-    )
-    limits = materialize(thresholds(sized, source_targets(sized)), "mix-limits")
-    limits = limits.withColumnRenamed("source", "of")
-    if limits.count() <= MAX_BROADCAST_SOURCES:
-        limits = F.broadcast(limits)
-    copies = F.least(F.col("repeats") + F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0), F.lit(3))
+    sized, limits = mix_limits(docs, id_col, text_col, source_col, seed)
     return sized.join(limits, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "source", "hash", "size", "source_size", "target", copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"),
+        "doc_id", "source", "hash", "size", "source_size", "target", copies().alias("copies"), (copies() * F.col("size")).alias("taken"))
+
+
+def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, all columns as they were."""
+    _, limits = mix_limits(docs, id_col, text_col, source_col, seed)
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(source_col).alias("source"),
+        row_hash(seed, F.col(id_col), F.col(text_col)).alias("hash"))
+    times = F.sequence(F.lit(1).cast("long"), copies())
+    return (
+        rows.join(limits, F.col("source").eqNullSafe(F.col("of"))).where(copies() > 0)
+        .select("row", F.explode(times).alias("time")).select("row.*")
     )

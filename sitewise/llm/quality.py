@@ -12,11 +12,10 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from ..shared import materialize
+from pyspark.sql import types as T
 
 #: Labelled rows that the rules are learned from; those of the smallest hashes if there are more.
 MAX_LABELLED = 40_000
@@ -59,16 +58,18 @@ def text_stats(text: str | None) -> tuple[int, ...]:
     )
 
 
-def with_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, STATS) for each row, computed over whole texts in Arrow batches."""
+def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(row, STATS): every row as a struct beside its statistics, over whole texts in Arrow batches."""
     names = [x.split()[0] for x in STATS.split(", ")]
 
-    def stats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pd.concat([b[["doc_id"]].reset_index(drop=True), pd.DataFrame([text_stats(t) for t in b["text"]], columns=names, dtype="int64")], axis=1)
+            found = np.array([text_stats(t) for t in b.column("text").to_pylist()], np.int64).reshape(-1, len(names))
+            yield pa.RecordBatch.from_arrays([b.column("row"), *[pa.array(found[:, i]) for i in range(len(names))]], ["row", *names])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(stats, f"doc_id long, {STATS}")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    schema = T.StructType([rows.schema["row"], *[T.StructField(n, T.LongType()) for n in names]])
+    return rows.mapInArrow(stats, schema)
 
 
 def features() -> dict[str, Column]:
@@ -172,26 +173,35 @@ def describe(rules: list[list[tuple[int, str, float]]]) -> list[str]:
     return ["reject if " + " and ".join(f"{names[f]} {op} {t:.6g}" for f, op, t in rule) for rule in rules]
 
 
-def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """(doc_id, STATS, base_failed, kept) for every row of ``docs``.
+def fit_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> list[list[tuple[int, str, float]]]:
+    """Rules learned from at most ``max_labelled`` labelled rows, those of the smallest hashes.
 
-    ``base_failed``: under 50 words, or over half of the words in repeated 3-word windows.
-    ``kept``: not base_failed and not rejected by the learned list. Rules are learned from
-    up to ``max_labelled`` labelled rows that pass the base rules; labels that are null or
-    given twice with different values are left out; without both labels there are no rules.
-    Null and empty texts have all statistics 0 and fail. Repeated rows get equal verdicts.
+    Rows that fail the base rules are left out, as are labels that are null or given twice
+    with different values. The sample's size bounds what is broadcast and sent to the driver.
     """
-    stats = materialize(with_stats(docs, id_col, text_col), "quality-stats").withColumn(
-        "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    marks = (
-        labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label")).where("label is not null")
-        .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most")
-    )
+    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("id is not null and label is not null")
+    marks = marks.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most")
+    chosen = marks.orderBy(F.md5(F.col("id").cast("string")), "id").limit(max_labelled).select("id", "label")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("label", "text")
     named = features()
-    sample = (
-        stats.where(~F.col("base_failed")).join(marks, "doc_id")
-        .select(F.md5(F.col("doc_id").cast("string")).alias("hash"), "label", *[c.alias(n) for n, c in named.items()])
-        .orderBy("hash", *named).limit(max_labelled).toPandas()
-    )
-    rules = learn_rules(sample[list(named)].to_numpy(float), sample["label"].to_numpy() == 0) if len(sample) else []
-    return stats.withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    sample = with_stats(rows).where(~base_failed()).select("row.label", *[c.alias(n) for n, c in named.items()]).toPandas()
+    if not len(sample):
+        return []
+    sample = sample.sort_values(list(sample.columns), ignore_index=True)  # the fit does not depend on row order
+    return learn_rules(sample[list(named)].to_numpy(float), sample["label"].to_numpy() == 0)
+
+
+def base_failed() -> Column:
+    """Under 50 words, or over half of the words in repeated 3-word windows."""
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
+def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """(row, STATS, base_failed, kept) for every row of ``docs``, ``row`` with all its columns.
+
+    ``kept``: not base_failed and not rejected by the learned list; without both labels the
+    list is empty. Null and empty texts have all statistics 0 and fail. Repeated rows get
+    equal verdicts. One pass over the texts, without a shuffle.
+    """
+    rules = fit_rules(docs, labels, id_col, text_col, label_col, max_labelled)
+    return with_stats(docs, text_col).withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import new_path
-from . import bpe, chat, mixing, quality, secrets, toxicity, vectors, warc
+from . import bpe, chat, minhash, mixing, quality, secrets, toxicity, vectors, warc
 
 #: The public tokenizer of op4 and the pipeline.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -19,10 +19,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of every document, and which one stays."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the learned decision list's verdict for every document."""
     return quality.judge_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,6 +163,7 @@ FROM sized s JOIN limits l ON l.source IS NOT DISTINCT FROM s.source
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_minhash_near_dup": op1_minhash_near_dup,
         "op2_quality_rules": op2_quality_rules,
         "op4_bpe": op4_bpe,
         "op5_chat_format": op5_chat_format,
