@@ -3,7 +3,7 @@
 Two first-order models over characters, one of random strings and one of ordinary
 identifiers, are trained by counting transitions. A token is a secret when the log of
 their likelihood ratio is high. Values of the fixed patterns label the random strings;
-words of a bounded set of documents label the ordinary ones.
+words that a bounded set of documents holds twice or more label the ordinary ones.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 STATES = len(ALPHABET) + 1
 #: Documents, by smallest hash, whose words are the labelled ordinary sample; likewise secrets.
 MAX_ORDINARY_DOCS, MAX_SECRETS = 2_000, 50_000
+#: Weight of the single characters in the estimate of a transition.
+BACKOFF = 5.0
 #: A token is a secret at this log-likelihood ratio a character and in all.
 MIN_MEAN, MIN_TOTAL = 0.5, 12.0
 
@@ -78,29 +80,37 @@ def transitions(value: Column) -> Column:
 def train(scanned: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
     """Log ratios of the transition probabilities, random over ordinary, STATES**2 values.
 
-    Counting runs in Spark; at most 2 * STATES**2 sums reach the driver. Add-one smoothing
-    makes the random model uniform where the corpus labels no secret.
+    Counting runs in Spark; at most 2 * STATES**2 sums reach the driver. A transition falls
+    back to the model's single characters, and those to a uniform choice, so the random
+    model is uniform where the corpus labels no secret.
     """
     value = F.when(F.col("s.kind") == 0, F.regexp_extract("s.value", ASSIGN, 1)).otherwise(F.col("s.value"))
     secret = (
         scanned.select(F.explode("base").alias("s")).select(value.alias("value")).distinct()
-        .orderBy(F.md5("value"), "value").limit(MAX_SECRETS).withColumn("random", F.lit(True))
+        .orderBy(F.md5("value"), "value").limit(MAX_SECRETS).select("value", F.lit(1).cast("long").alias("n"), F.lit(True).alias("random"))
     )
     chosen = docs.select(F.md5(F.col(id_col).cast("string")).alias("hash"), F.col(id_col).alias("__id")).orderBy("hash").limit(MAX_ORDINARY_DOCS)
+    clear = F.coalesce(F.col(text_col), F.lit(""))
+    for pattern in (ASSIGN, ACCESS, HEX):
+        clear = F.regexp_replace(clear, pattern, " ")
     words = (
         docs.join(F.broadcast(chosen.select("__id").distinct()), F.col(id_col) == F.col("__id"), "left_semi")
-        .select(F.explode(F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(ORDINARY), F.lit(0))).alias("value"))
-        .where(~F.col("value").rlike(HEX) & ~F.col("value").rlike(ACCESS)).withColumn("random", F.lit(False))
+        .select(F.explode(F.regexp_extract_all(clear, F.lit(ORDINARY), F.lit(0))).alias("value"))
+        .groupBy("value").agg(F.count("*").alias("n")).where("n > 1").withColumn("random", F.lit(False))
     )
-    both = secret.unionByName(words).select("random", F.explode(transitions(F.col("value"))).alias("step"))
-    counts = {True: [1.0] * STATES**2, False: [1.0] * STATES**2}
-    for random, step, n in both.groupBy("random", "step").count().collect():
+    both = secret.unionByName(words).select("random", "n", F.explode(transitions(F.col("value"))).alias("step"))
+    counts = {True: [0.0] * STATES**2, False: [0.0] * STATES**2}
+    for random, step, n in both.groupBy("random", "step").agg(F.sum("n")).collect():
         counts[random][step] += n
-    for table in counts.values():
-        for a in range(STATES):
-            row = sum(table[a * STATES:(a + 1) * STATES])
-            table[a * STATES:(a + 1) * STATES] = [n / row for n in table[a * STATES:(a + 1) * STATES]]
-    return [math.log(p / q) for p, q in zip(counts[True], counts[False])]
+    model = {}
+    for random, table in counts.items():
+        total = sum(table) + STATES
+        single = [(sum(table[b::STATES]) + 1) / total for b in range(STATES)]
+        model[random] = [
+            (table[a * STATES + b] + BACKOFF * single[b]) / (sum(table[a * STATES:(a + 1) * STATES]) + BACKOFF)
+            for a in range(STATES) for b in range(STATES)
+        ]
+    return [math.log(p / q) for p, q in zip(model[True], model[False])]
 
 
 def llr(value: Column, ratios: list[float]) -> Column:
