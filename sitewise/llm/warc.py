@@ -11,12 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import materialize
+
 #: Fixed strings of the WARC 1.1 format.
 CRLF = "\r\n"
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads below this many bytes are never revisited.
 MIN_REVISIT_BYTES = 1000
+#: Up to so many digests with copies, some 100 bytes each, are broadcast.
+MAX_BROADCAST_KEEPERS = 100_000
 
 
 def _field(name: str, value: Column) -> Column:
@@ -56,6 +60,9 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
         .groupBy("digest").agg(F.max("page_id").alias("keeper"), F.sum("n").alias("copies"), F.max_by("n", "page_id").alias("n_keeper"))
         .where("copies > 1")
     )
+    keepers = materialize(keepers, "warc-keepers")
+    if keepers.count() <= MAX_BROADCAST_KEEPERS:  # else the payloads are shuffled to their keepers
+        keepers = F.broadcast(keepers)
     marked = rows.join(keepers, "digest", "left").withColumn(
         "record_type", F.when((F.col("copies") > 1) & (F.col("n_bytes") >= MIN_REVISIT_BYTES) & ~F.col("page_id").eqNullSafe(F.col("keeper")), "revisit").otherwise("response"))
     marked.select("digest", F.encode(_header(date), "UTF-8").alias("header")).write.option("compression", "zstd").parquet(f"{path}/records")
