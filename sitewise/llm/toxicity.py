@@ -2,8 +2,8 @@
 
 Features are words and word beginnings that differ between the labels, counted in Spark
 over a bounded labelled sample. The fit adds to its loss the squared change of the score
-when identity terms of a text are swapped for others of their group, so that naming a
-group does not by itself raise the score.
+when identity terms of a text are swapped for others of their group, and when they are
+swapped for nothing, so that neither which group is named nor naming one moves the score.
 """
 
 from __future__ import annotations
@@ -72,7 +72,8 @@ def choose_features(sample: DataFrame, limit: int = MAX_FEATURES) -> list[str]:
                 rows.update(found)
                 if label:
                     bad.update(found)
-        yield pd.DataFrame({"feature": list(rows), "n": list(rows.values()), "bad": [bad[f] for f in rows]})
+        if rows:
+            yield pd.DataFrame({"feature": list(rows), "n": list(rows.values()), "bad": [bad[f] for f in rows]})
 
     n, p = sample.agg(F.count("*"), F.sum(F.col("label").cast("double"))).first()
     share = (p or 0.0) / n if n else 0.0
@@ -119,16 +120,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             out = []
             for text, label in zip(b["text"], b["label"]):
                 words = words_of(text)
-                swapped = {SWAP.get(w, w) for w in words}
+                swapped, without = {SWAP.get(w, w) for w in words}, words.difference(SWAP)
                 index = lambda ws: [place[f] for f in features_of(ws) if f in place]
-                out.append((int(label), index(words), index(swapped) if swapped != words else None))
-            yield pd.DataFrame(out, columns=["label", "on", "swapped"])
+                named = len(without) < len(words)
+                out.append((int(label), index(words), index(swapped) if named else None, index(without) if named else None))
+            yield pd.DataFrame(out, columns=["label", "on", "swapped", "without"])
 
-    got = sample.mapInPandas(rows, "label int, on array<int>, swapped array<int>").toPandas()
+    got = sample.mapInPandas(rows, "label int, on array<int>, swapped array<int>, without array<int>").toPandas()
     x = np.zeros((len(got), len(names)), np.float32)
     for i, on in enumerate(got["on"]):
         x[i, list(on)] = 1
-    changed = [(i, s) for i, s in enumerate(got["swapped"]) if s is not None]
+    changed = [(i, s) for c in ("swapped", "without") for i, s in enumerate(got[c]) if s is not None]
     swaps = np.zeros((len(changed), len(names)), np.float32)
     for k, (i, s) in enumerate(changed):
         swaps[k, list(s)] = 1
