@@ -35,7 +35,7 @@ SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 10, 3
 #: A shingle's weight is count * idf; idf falls from 1 + IDF_SPAN, in one text, to 1, in all.
 IDF_SPAN = 0.2
 #: Texts of a batch and shingles of a bucket, about.
-BATCH_TEXTS, BUCKET_SHINGLES = 3_000, 2_000_000
+BATCH_TEXTS, BUCKET_SHINGLES = 1_000, 500_000
 #: Steps of the logarithm of a document frequency in its one-byte code.
 LEVELS_PER_E = 8
 HAS_WORD = r"[^\x20\x09-\x0D]"

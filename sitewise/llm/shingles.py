@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x100000001B3
 _SPACE = np.zeros(256, bool)
