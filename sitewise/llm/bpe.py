@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 #: Stands for the end-of-word suffix, so that it is one character.
 END = ""
 #: Words whose ids a worker keeps; beyond it the table starts anew.
-MAX_CACHED_WORDS = 600_000
+MAX_CACHED_WORDS = 200_000
 #: Texts are handed back in groups of about so many characters.
 GROUP_CHARS = 1_000_000
 
@@ -132,6 +132,7 @@ class WordBpe:
         if len(self.word_ids) + len(new) > MAX_CACHED_WORDS:
             self.word_ids.clear()
             self.word_text.clear()
+            self.fits.clear()
             new = list(words)
         letters, names = self.letters, self.names
         coded = ["".join([letters[b] for b in w.encode("utf-8", "replace")]) + END for w in new]

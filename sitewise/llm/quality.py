@@ -22,6 +22,8 @@ MAX_LABELLED = 40_000
 #: A rule stays only if this share of the held-back rows it matches is bad, and at least MIN_COVER rows.
 MIN_PRECISION, MIN_COVER = 0.9, 5
 MAX_RULES, MAX_TERMS, MAX_CUTS = 12, 4, 64
+#: Rows whose texts are Python strings at once.
+SLICE_ROWS = 500
 #: Fixed character sets of the base statistics.
 SYMBOLS, SPACES = "#*$%&|<>", " \t\n\v\f\r"
 
@@ -64,10 +66,13 @@ def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = np.array([text_stats(t) for t in b.column("text").to_pylist()], np.int64).reshape(-1, len(names))
-            yield pa.RecordBatch.from_arrays([b.column("row"), *[pa.array(found[:, i]) for i in range(len(names))]], ["row", *names])
+            for start in range(0, b.num_rows, SLICE_ROWS):
+                part = b.column("row").slice(start, SLICE_ROWS)
+                found = np.array([text_stats(t) for t in part.field(place).to_pylist()], np.int64).reshape(-1, len(names))
+                yield pa.RecordBatch.from_arrays([part, *[pa.array(found[:, i]) for i in range(len(names))]], ["row", *names])
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    place = docs.columns.index(text_col)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     schema = T.StructType([rows.schema["row"], *[T.StructField(n, T.LongType()) for n in names]])
     return rows.mapInArrow(stats, schema)
 
