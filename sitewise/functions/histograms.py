@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,31 +14,63 @@ def total(h: Column) -> Column:
     return F.aggregate(h, F.lit(0.0), lambda s, x: s + x)
 
 
+def shares(h: Column) -> Column:
+    """The histogram scaled to sum 1."""
+    zero = F.struct(F.lit(0.0).alias("t"))
+    whole = F.aggregate(h, zero, lambda s, x: F.struct((s["t"] + x).alias("t")))
+    return F.transform(F.arrays_zip(h.alias("h")), lambda x: x["h"] / F.greatest(whole["t"], F.lit(1e-20)))
+
+
 def cdf_edges(h: Column, bins: int = 20) -> Column:
     """Cumulative shares at the bins' edges, 0 first."""
-    sums = F.transform(F.sequence(F.lit(0), F.lit(bins)), lambda k: F.aggregate(F.slice(h, F.lit(1), k), F.lit(0.0), lambda s, x: s + x))
-    return F.transform(sums, lambda v: v / F.greatest(F.element_at(sums, -1), F.lit(1e-20)))
+    zero = F.struct(F.lit(0.0).alias("t"), F.array(F.lit(0.0)).alias("e"))
+    return F.aggregate(
+        h, zero, lambda s, x: F.struct((s["t"] + x).alias("t"), F.concat(s["e"], F.array(s["t"] + x)).alias("e")),
+        lambda s: F.transform(s["e"], lambda v: v / F.greatest(s["t"], F.lit(1e-20))))
+
+
+def _pairs(h1: Column, h2: Column) -> Column:
+    return F.zip_with(shares(h1), shares(h2), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+
+def _constant(values: list[float], k: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), k + 1)
+
+
+def ks_statistic(h1: Column, h2: Column, bins: int = 20, grid: int = GRID) -> Column:
+    """Largest |F1 - F2| at ``grid`` even points of the linearly interpolated distributions.
+
+    The difference is linear inside a bin, so its first and last grid point there suffice.
+    """
+    low = [math.ceil(k * (grid - 1) / bins) * bins / (grid - 1) - k for k in range(bins)]
+    high = [math.floor((k + 1) * (grid - 1) / bins) * bins / (grid - 1) - k for k in range(bins)]
+    zero = F.struct(F.lit(0).alias("k"), F.lit(0.0).alias("d"), F.lit(0.0).alias("best"))
 
+    def step(s: Column, x: Column) -> Column:
+        rise = x["a"] - x["b"]
+        ends = [F.abs(s["d"] + _constant(t, s["k"]) * rise) for t in (low, high)]
+        return F.struct((s["k"] + 1).alias("k"), (s["d"] + rise).alias("d"), F.greatest(s["best"], *ends).alias("best"))
 
-def cdf_grid(edges: Column, bins: int = 20, grid: int = GRID) -> Column:
-    """Linear interpolation of edge values at ``grid`` even points from 0 to 1."""
-    def at(j: Column) -> Column:
-        i = F.least(F.floor(j * bins / (grid - 1)), F.lit(bins - 1))
-        t = j * bins / (grid - 1) - i
-        return (1 - t) * F.element_at(edges, (i + 1).cast("int")) + t * F.element_at(edges, (i + 2).cast("int"))
+    return F.aggregate(_pairs(h1, h2), zero, step, lambda s: s["best"])
 
-    return F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), at)
 
+def bhattacharyya(h1: Column, h2: Column, bins: int = 20, grid: int = GRID) -> Column:
+    """Sum of sqrt(p1 p2) over the cells of an even grid on the interpolated distributions, at most 1.
 
-def ks_statistic(grid1: Column, grid2: Column) -> Column:
-    return F.array_max(F.zip_with(grid1, grid2, lambda a, b: F.abs(a - b)))
+    A cell lies in one bin, or in two with fixed parts, so 2 * bins terms give the whole sum.
+    """
+    width, cells = bins / (grid - 1), grid - 1
+    full = [float(math.floor((k + 1) * cells / bins) - math.ceil(k * cells / bins)) for k in range(bins)]
+    left = [k * cells / bins - math.floor(k * cells / bins) for k in range(bins)]
+    zero = F.struct(F.lit(0).alias("k"), F.lit(0.0).alias("a"), F.lit(0.0).alias("b"), F.lit(0.0).alias("sum"))
 
+    def step(s: Column, x: Column) -> Column:
+        f = _constant(left, s["k"])
+        split = F.when(f > 0, F.sqrt((f * s["a"] + (1 - f) * x["a"]) * (f * s["b"] + (1 - f) * x["b"]))).otherwise(F.lit(0.0))
+        return F.struct((s["k"] + 1).alias("k"), x["a"].alias("a"), x["b"].alias("b"),
+                        (s["sum"] + width * (_constant(full, s["k"]) * F.sqrt(x["a"] * x["b"]) + split)).alias("sum"))
 
-def bhattacharyya(grid1: Column, grid2: Column, grid: int = GRID) -> Column:
-    """Sum over grid cells of sqrt(p1 p2), clipped to 0..1."""
-    step = lambda g: F.transform(F.sequence(F.lit(1), F.lit(grid - 1)), lambda j: F.greatest(F.element_at(g, j + 1) - F.element_at(g, j), F.lit(0.0)))
-    cells = F.zip_with(step(grid1), step(grid2), lambda a, b: F.sqrt(a * b))
-    return F.least(F.greatest(F.aggregate(cells, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)), F.lit(1.0))
+    return F.least(F.aggregate(_pairs(h1, h2), zero, step, lambda s: s["sum"]), F.lit(1.0))
 
 
 def overlap_min(h1: Column, h2: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,10 +46,10 @@ def build(counts: DataFrame, by: list[str] | None = None, bins: int = BINS) -> D
 def merge(parts: list[tuple[DataFrame, int]], by: list[str] | None = None, bins: int = BINS) -> DataFrame:
     """Adds (sign 1) and removes (sign -1) stored statistics; sites without samples vanish."""
     by = by or KEY
-    signed = None
-    for df, sign in parts:
-        one = df.select(*by, *[(F.col(c) * sign).alias(c) for c in STATS], F.transform("bin_counts", lambda v, s=sign: v * s).alias("bin_counts"))
-        signed = one if signed is None else signed.unionByName(one)
+    def times(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(*by, *[(F.col(c) * sign).alias(c) for c in STATS], F.transform("bin_counts", lambda v: v * sign).alias("bin_counts"))
+
+    signed = reduce(DataFrame.unionByName, [times(df, sign) for df, sign in parts])
     return signed.groupBy(*by).agg(
         *[F.sum(c).alias(c) for c in STATS],
         F.array(*[F.sum(F.element_at("bin_counts", k + 1)) for k in range(bins)]).alias("bin_counts"),

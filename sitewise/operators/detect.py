@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import histograms as H
 from ..functions import special
+from ..shared import materialize
 from . import centroid, fdr
 
 KEY = centroid.KEY
@@ -45,16 +46,14 @@ def with_mann_whitney(pairs: DataFrame) -> DataFrame:
 
 def with_ks(pairs: DataFrame) -> DataFrame:
     """Adds ks_stat on the interpolated grid and ks_p at the harmonic mean of the sizes."""
-    grids = pairs.withColumn("__g1", H.cdf_grid(H.cdf_edges(F.col("h1")))).withColumn("__g2", H.cdf_grid(H.cdf_edges(F.col("h2"))))
-    rows = grids.withColumn("ks_stat", H.ks_statistic(F.col("__g1"), F.col("__g2"))).drop("__g1", "__g2")
+    rows = pairs.withColumn("ks_stat", H.ks_statistic(F.col("h1"), F.col("h2")))
     return rows.withColumn("__x", F.sqrt(2 / (1 / F.greatest("n1", F.lit(1)) + 1 / F.greatest("n2", F.lit(1)))) * F.col("ks_stat")).withColumn(
         "ks_p", F.expr(special.kolmogorov_sf("__x"))).drop("__x")
 
 
 def with_overlap(pairs: DataFrame) -> DataFrame:
     """Adds the Bhattacharyya overlap of the interpolated distributions."""
-    grids = pairs.withColumn("__g1", H.cdf_grid(H.cdf_edges(F.col("h1")))).withColumn("__g2", H.cdf_grid(H.cdf_edges(F.col("h2"))))
-    return grids.withColumn("overlap", H.bhattacharyya(F.col("__g1"), F.col("__g2"))).drop("__g1", "__g2")
+    return pairs.withColumn("overlap", H.bhattacharyya(F.col("h1"), F.col("h2")))
 
 
 def mean_level_weight(level: Column, mode: str = "saturating", k: float = 0.08) -> Column:
@@ -84,6 +83,7 @@ def compare(a: DataFrame, b: DataFrame, min_samples: int = 2, min_delta: float =
         *KEY, "n1", "n2", "mean1", "mean2", F.abs(F.col("mean1") - F.col("mean2")).alias("delta_mean"),
         F.signum(F.col("mean2") - F.col("mean1")).alias("delta_sign"), "z_stat", "p_value", "overlap",
         effect_size(F.col("mean1") - F.col("mean2"), F.col("overlap"), F.col("var1"), F.col("var2")).alias("effect_size"))
+    rows = materialize(rows, "tested")  # read three times by the steps of the q-values
     return fdr.storey_pair(rows, "p_value", ["chrom", "context"])
 
 
@@ -115,7 +115,7 @@ def elbow(df: DataFrame, value: str, by: list[str], log_eps: float | None = None
     d = s.join(ends, by).withColumn("d", F.abs((F.col("y_last") - F.col("y_first")) * F.col("x") - F.col("ys") + F.col("y_first")) / F.sqrt(1 + F.pow(F.col("y_last") - F.col("y_first"), F.lit(2))))
     inner = d.where((F.col("rank") > 1) & (F.col("rank") < F.col("n")))
     return inner.groupBy(*by).agg(F.max(F.struct(F.round("d", 12).alias("d"), (-F.col("rank")).alias("r"), F.col(value).alias("v"))).alias("m")).select(
-        *by, (-F.col("m.r")).alias("elbow_rank"), F.col("m.v").alias("cutoff"))
+        *by, (-F.col("m.r")).cast("long").alias("elbow_rank"), F.col("m.v").alias("cutoff"))
 
 
 def funnel(df: DataFrame, passed: Column) -> DataFrame:

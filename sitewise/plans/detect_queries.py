@@ -154,8 +154,8 @@ def _(t):
 
 @register("dmp_elbow", _OVER + """, s AS (SELECT context, round(effect_size, 9) AS v FROM r),
 k AS (SELECT context, v, row_number() OVER (PARTITION BY context ORDER BY v DESC) AS rank, count(*) OVER (PARTITION BY context) AS n, ln(v + 1e-6) AS y FROM s),
-c AS (SELECT *, (rank - 1) / CAST(greatest(n - 1, 1) AS DOUBLE) AS x, (y - min(y) OVER (PARTITION BY context)) / (max(y) OVER (PARTITION BY context) - min(y) OVER (PARTITION BY context)) AS ys FROM k),
-d AS (SELECT *, round(abs((0.0e0 - 1) * x - ys + 1) / sqrt(2), 12) AS d FROM c WHERE rank > 1 AND rank < n),
+sc AS (SELECT *, (rank - 1) / CAST(greatest(n - 1, 1) AS DOUBLE) AS x, (y - min(y) OVER (PARTITION BY context)) / (max(y) OVER (PARTITION BY context) - min(y) OVER (PARTITION BY context)) AS ys FROM k),
+d AS (SELECT *, round(abs((0.0e0 - 1) * x - ys + 1) / sqrt(2), 12) AS d FROM sc WHERE rank > 1 AND rank < n),
 b AS (SELECT *, row_number() OVER (PARTITION BY context ORDER BY d DESC, rank) AS o FROM d) SELECT context, rank AS elbow_rank, v AS cutoff FROM b WHERE o = 1""", "cutoff")
 def _(t):
     r = dmp(t).select("context", F.round("effect_size", 9).alias("v"))
