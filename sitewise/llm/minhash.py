@@ -8,10 +8,10 @@
 3. A text whose shared shingles carry less than the link similarity of its own weight can
    link with nothing and stops here; this is exact. The others get improved consistent
    weighted samples (Ioffe 2010) and band keys.
-4. Each band bucket has a leader, its smallest node. Members are verified against it by
-   weighted Jaccard similarity. Members that do not link with their leader are verified
-   against the rest of the bucket, except where the triangle inequality of the Jaccard
-   distance rules a link out or both are already in one component.
+4. Each band bucket has a leader, the member whose shingles are the most frequent. Members
+   are verified against it by weighted Jaccard similarity. Members that end in another
+   component than their leader are compared with the whole bucket in blocks, by matrix
+   products that bound the similarity and exact checks where the bound allows a link.
 5. Connected components of the verified links are the classes.
 """
 
@@ -32,6 +32,8 @@ from .shingles import doc_shingles, mix
 
 #: Words of a shingle, least similarity of a link, bands and samples in a band.
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 10, 3
+#: Members of a block in the exact rest of a bucket, and shingles of a matrix there.
+BLOCK, COLUMNS = 128, 8_192
 #: A shingle's weight is count * idf; idf falls from 1 + IDF_SPAN, in one text, to 1, in all.
 IDF_SPAN = 0.2
 #: Texts of a batch and shingles of a bucket, about.
@@ -144,9 +146,12 @@ def weighted_samples(h: np.ndarray, w: np.ndarray, starts: np.ndarray, n: int) -
 
 
 def _signed(texts: DataFrame, shared: DataFrame, buckets: int, n_texts: int) -> DataFrame:
-    """(node, total, ids, weights, bands) of the texts that could link with another."""
+    """(node, total, pop, ids, weights, bands) of the texts that could link with another.
+
+    ``pop``, the mean document-frequency code of the shingles, is highest near a group's centre.
+    """
     per_level = IDF_SPAN / (LEVELS_PER_E * max(math.log(max(n_texts, 2)), 1e-9))
-    schema = pa.schema([("node", pa.int64()), ("total", pa.float64()), ("ids", pa.binary()), ("weights", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("node", pa.int64()), ("total", pa.float64()), ("pop", pa.float64()), ("ids", pa.binary()), ("weights", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
@@ -166,17 +171,18 @@ def _signed(texts: DataFrame, shared: DataFrame, buckets: int, n_texts: int) ->
             w = n * np.maximum(1.0, 1.0 + IDF_SPAN - per_level * level)
             on = level > 0
             if w[on].sum() >= SIMILARITY * w.sum() * (1 - 1e-9):
-                kept.append((nodes[row], h, w, on))
+                kept.append((nodes[row], h, w, on, float(level.mean())))
         out = {name: [] for name in schema.names}
         for i in range(0, len(kept), 200):
             part = kept[i:i + 200]
             sizes = np.array([len(x[1]) for x in part])
             samples = weighted_samples(np.concatenate([x[1] for x in part]), np.concatenate([x[2] for x in part]), np.cumsum(sizes) - sizes, BANDS * ROWS)
-            for (node, h, w, on), s in zip(part, samples):
+            for (node, h, w, on, pop), s in zip(part, samples):
                 ids = h[on].astype("<u4")
                 order = np.argsort(ids, kind="stable")
                 out["node"].append(node)
                 out["total"].append(float(w.sum()))
+                out["pop"].append(pop)
                 out["ids"].append(ids[order].tobytes())
                 out["weights"].append(w[on].astype("<f4")[order].tobytes())
                 keys_of = np.zeros(BANDS, np.uint64)
@@ -185,7 +191,7 @@ def _signed(texts: DataFrame, shared: DataFrame, buckets: int, n_texts: int) ->
                 out["bands"].append(mix(keys_of + np.arange(BANDS, dtype=np.uint64)).astype(np.int64).tolist())
         return pa.table(out, schema=schema)
 
-    return texts.groupBy("b").cogroup(shared.groupBy("b")).applyInArrow(run, "node long, total double, ids binary, weights binary, bands array<long>")
+    return texts.groupBy("b").cogroup(shared.groupBy("b")).applyInArrow(run, "node long, total double, pop double, ids binary, weights binary, bands array<long>")
 
 
 def weighted_jaccard(a_ids: bytes, a_w: bytes, a_total: float, b_ids: bytes, b_w: bytes, b_total: float) -> float:
@@ -212,6 +218,102 @@ def _verified(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     return pairs.join(left, "x").join(right, "y").select("x", "y", sim("ids_x", "weights_x", "total_x", "ids_y", "weights_y", "total_y").alias("sim"))
 
 
+def _leaders(members: DataFrame) -> DataFrame:
+    """(key, leader): each bucket's member of highest ``pop``, the larger node on ties."""
+    return members.groupBy("key").agg(F.max(F.struct("pop", "node")).alias("m")).select("key", F.col("m.node").alias("leader"))
+
+
+def _linked(signed: DataFrame) -> DataFrame:
+    """(node, component) of all nodes with a verified link.
+
+    A bucket's leader links most members by as many pairs as there are members. The exact
+    rest compares every member that is in another component than its bucket's leader with
+    the whole bucket, in blocks.
+    """
+    banded = signed.select("node", "pop", F.explode("bands").alias("key"))
+    several = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    members = materialize(banded.join(several, "key"), "minhash-members")
+    first = materialize(members.join(_leaders(members), "key").select("key", "node", "leader"), "minhash-first")
+    stars = first.where("node <> leader").select(F.col("node").alias("x"), F.col("leader").alias("y")).distinct()
+    known = materialize(_verified(stars, signed).where(F.col("sim") >= SIMILARITY), "minhash-stars")
+    links = known.select(F.col("x").alias("a"), F.col("y").alias("b"))
+    parts = materialize(connected_components(links), "minhash-parts")
+    part_of = parts.select(F.col("node").alias("n"), "component")
+    placed = first.join(part_of, F.col("node") == F.col("n"), "left").withColumn("part", F.coalesce("component", "node")).drop("n", "component")
+    placed = placed.join(part_of, F.col("leader") == F.col("n"), "left").withColumn("main", F.coalesce("component", "leader")).select("key", "node", "part", "main")
+    placed = materialize(placed, "minhash-placed")
+    rest = materialize(_rest(placed, signed), "minhash-rest")
+    return parts if rest.isEmpty() else connected_components(links.unionByName(rest))
+
+
+def _rest(placed: DataFrame, signed: DataFrame) -> DataFrame:
+    """(a, b): links between the parts of each bucket that hold members apart from its leader.
+
+    Members are packed into blocks of about BLOCK; a row is one pair of blocks. Inside it a
+    matrix product bounds all similarities from above, and those over the limit are verified
+    one by one until the parts are joined, so at most one link per member leaves a row.
+    """
+    off = F.col("part") != F.col("main")
+    sizes = placed.groupBy("key").agg(F.count("*").alias("n_all"), F.count_if(off).alias("n_off")).where("n_off > 0")
+    rows = placed.join(sizes, "key").join(signed.select("node", "total", "ids", "weights"), "node")
+    item = F.struct("node", "part", "total", "ids", "weights")
+
+    def packed(df: DataFrame, n: str, to: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("node", F.lit(to)), F.ceil(F.col(n) / BLOCK))
+        return df.groupBy("key", block.alias("block")).agg(F.collect_list(item).alias(to)).drop("block")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            for r in part.itertuples(index=False):
+                found = _block_links(r.some, r.whole)
+                if found:
+                    yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return packed(rows.where(off), "n_off", "some").join(packed(rows, "n_all", "whole"), "key").mapInPandas(run, "a long, b long").distinct()
+
+
+def _block_links(some: list[dict], whole: list[dict]) -> list[tuple[int, int]]:
+    """Links that join the parts of two blocks of (node, part, total, ids, weights)."""
+    def flat(block: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids = [np.frombuffer(m["ids"], "<u4") for m in block]
+        return np.concatenate(ids), np.repeat(np.arange(len(block)), [len(x) for x in ids]), np.sqrt(np.concatenate([np.frombuffer(m["weights"], "<f4") for m in block]))
+
+    (ia, ra, wa), (ib, rb, wb) = flat(some), flat(whole)
+    common = np.intersect1d(ia, ib)
+    if not len(common):
+        return []
+    bound = np.zeros((len(some), len(whole)))
+    places = []
+    for ids in (ia, ib):
+        at = np.minimum(np.searchsorted(common, ids), len(common) - 1)
+        places.append(np.where(common[at] == ids, at, -1))
+    for start in range(0, len(common), COLUMNS):
+        dense = []
+        for at, r, w, n in ((places[0], ra, wa, len(some)), (places[1], rb, wb, len(whole))):
+            on = (at >= start) & (at < start + COLUMNS)
+            d = np.zeros((n, min(COLUMNS, len(common) - start)), np.float32)
+            np.maximum.at(d, (r[on], at[on] - start), w[on])
+            dense.append(d)
+        bound += dense[0] @ dense[1].T
+    ta, tb = np.array([m["total"] for m in some]), np.array([m["total"] for m in whole])
+    bound = bound / np.maximum(ta[:, None] + tb[None, :] - bound, 1e-12)
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(bound >= SIMILARITY - 1e-4)):
+        a, b = some[i], whole[j]
+        x, y = find(a["part"]), find(b["part"])
+        if x != y and weighted_jaccard(a["ids"], a["weights"], a["total"], b["ids"], b["weights"], b["total"]) >= SIMILARITY:
+            root[x] = y
+            out.append((a["node"], b["node"]))
+    return out
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, node, class_id, kept, copies) for every row of ``docs``.
 
@@ -232,28 +334,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = _texts(named.where("node is not null"), batches)
     signed = materialize(_signed(texts, _shared(_postings(texts, buckets)), buckets, n), "minhash-signed")
 
-    banded = signed.select("node", F.explode("bands").alias("key"))
-    lead = banded.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").select("key", "leader")
-    members = materialize(banded.join(lead, "key"), "minhash-members")
-    stars = members.where("node <> leader").select(F.col("node").alias("x"), F.col("leader").alias("y")).distinct()
-    known = materialize(_verified(stars, signed), "minhash-stars")
-    links = known.where(F.col("sim") >= SIMILARITY).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    parts = connected_components(links)
-    if not known.where(F.col("sim") < SIMILARITY).isEmpty():
-        # What is left of the exact search: pairs of a bucket not decided by its leader.
-        seen = (
-            members.join(known.select(F.col("x").alias("node"), F.col("y").alias("leader"), "sim"), ["node", "leader"], "left")
-            .withColumn("sim", F.coalesce("sim", F.lit(1.0))).join(parts, "node", "left")
-            .select("key", "node", "sim", F.coalesce("component", "node").alias("part"))
-        )
-        off = seen.where(F.col("sim") < SIMILARITY)
-        other = seen.select("key", F.col("node").alias("node2"), F.col("sim").alias("sim2"), F.col("part").alias("part2"))
-        rest = off.join(other, "key").where(
-            (F.col("part") != F.col("part2")) & (F.abs(F.col("sim") - F.col("sim2")) <= 1 - SIMILARITY + 1e-6) & (F.col("sim2") < 1.0)
-        ).select(F.least("node", "node2").alias("x"), F.greatest("node", "node2").alias("y")).distinct()
-        more = materialize(_verified(rest, signed).where(F.col("sim") >= SIMILARITY), "minhash-rest")
-        parts = connected_components(links.unionByName(more.select(F.col("x").alias("a"), F.col("y").alias("b"))))
-    return _classes(rows, parts)
+    return _classes(rows, _linked(signed))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
