@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,3 +34,15 @@ def materialize(df: DataFrame, name: str = "table", partition_by: tuple[str, ...
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(schema).parquet(path)
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Rows of an Arrow batch for the jobs run inside, where single rows are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
