@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import materialize
+from ..shared import arrow_rows, materialize
 from .components import connected_components
 from .shingles import doc_shingles, mix
 
@@ -34,6 +34,8 @@ from .shingles import doc_shingles, mix
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 10, 3
 #: Members of a block in the exact rest of a bucket, and shingles of a matrix there.
 BLOCK, COLUMNS = 128, 8_192
+#: Texts or pairs of texts of an Arrow batch, and pairs of blocks.
+BATCH_ROWS, BATCH_BLOCKS = 500, 8
 #: A shingle's weight is count * idf; idf falls from 1 + IDF_SPAN, in one text, to 1, in all.
 IDF_SPAN = 0.2
 #: Texts of a batch and shingles of a bucket, about.
@@ -235,14 +237,16 @@ def _linked(signed: DataFrame) -> DataFrame:
     members = materialize(banded.join(several, "key"), "minhash-members")
     first = materialize(members.join(_leaders(members), "key").select("key", "node", "leader"), "minhash-first")
     stars = first.where("node <> leader").select(F.col("node").alias("x"), F.col("leader").alias("y")).distinct()
-    known = materialize(_verified(stars, signed).where(F.col("sim") >= SIMILARITY), "minhash-stars")
+    with arrow_rows(signed.sparkSession, BATCH_ROWS):
+        known = materialize(_verified(stars, signed).where(F.col("sim") >= SIMILARITY), "minhash-stars")
     links = known.select(F.col("x").alias("a"), F.col("y").alias("b"))
     parts = materialize(connected_components(links), "minhash-parts")
     part_of = parts.select(F.col("node").alias("n"), "component")
     placed = first.join(part_of, F.col("node") == F.col("n"), "left").withColumn("part", F.coalesce("component", "node")).drop("n", "component")
     placed = placed.join(part_of, F.col("leader") == F.col("n"), "left").withColumn("main", F.coalesce("component", "leader")).select("key", "node", "part", "main")
     placed = materialize(placed, "minhash-placed")
-    rest = materialize(_rest(placed, signed), "minhash-rest")
+    with arrow_rows(signed.sparkSession, BATCH_BLOCKS):
+        rest = materialize(_rest(placed, signed), "minhash-rest")
     return parts if rest.isEmpty() else connected_components(links.unionByName(rest))
 
 
@@ -332,7 +336,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     batches = max(1, math.ceil(n / BATCH_TEXTS))
     buckets = max(1, math.ceil(size / 6 / BUCKET_SHINGLES))
     texts = _texts(named.where("node is not null"), batches)
-    signed = materialize(_signed(texts, _shared(_postings(texts, buckets)), buckets, n), "minhash-signed")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        signed = materialize(_signed(texts, _shared(_postings(texts, buckets)), buckets, n), "minhash-signed")
 
     return _classes(rows, _linked(signed))
 

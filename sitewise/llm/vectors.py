@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import materialize
+from ..shared import arrow_rows, materialize
 from .components import connected_components
 
 #: Hash tables; each has as many joined hashes as keep buckets below LOAD vectors.
@@ -192,7 +192,8 @@ def link_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     by_cell = whole.select(F.col("a").alias("cell"), F.col("wb").alias("more")).unionByName(whole.select(F.col("b").alias("cell"), F.col("wa").alias("more"))).groupBy("cell").agg(F.sum("more").alias("more"))
     # Blocks of about BLOCK members by hash, so that no task holds a whole cell.
     blocks = cells.join(sums.select("cell", "size"), "cell").withColumn("block", F.pmod("h", F.ceil(F.col("size") / BLOCK)))
-    counted = materialize(_block_links(pairs.where("not whole"), blocks, min_cosine), "vector-block-links")
+    with arrow_rows(table.sparkSession, 8):
+        counted = materialize(_block_links(pairs.where("not whole"), blocks, min_cosine), "vector-block-links")
     by_rep = counted.groupBy("rep").agg(F.sum("linked").alias("found"))
     edges = whole.select("a", "b").unionByName(counted.where("linked > 0").select("a", "b").distinct())
     least = cells.groupBy("cell").agg(F.min("first").alias("least"))
