@@ -1 +1,114 @@
-"""Registered queries."""
+"""Queries of gene sets, networks and stages."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..operators import graph as G
+from .registry import register
+
+
+@register("pathway_merge", "SELECT DISTINCT library, lower(trim(regexp_replace(term, '\\s+', ' ', 'g'))) AS term, gene FROM gene_sets")
+def _(t):
+    return G.merge_terms(t.gene_sets)
+
+
+@register("enrich_ora", """WITH q AS (SELECT DISTINCT gene FROM gene_sets WHERE term = 'Brand#1' OR gene LIKE '1-%'), m AS (SELECT DISTINCT library, term, gene FROM gene_sets), nn AS (SELECT count(DISTINCT gene) AS nall FROM m), nq AS (SELECT count(*) AS nq FROM q WHERE gene IN (SELECT gene FROM m)),
+g AS (SELECT library, term, count(*) AS kk, count(q.gene) AS k FROM m LEFT JOIN q USING (gene) GROUP BY 1, 2), e AS (SELECT *, unnest(generate_series(k, least(kk, nq))) AS i FROM g, nn, nq),
+p AS (SELECT library, term, kk, k, nall, nq, least(sum(CASE WHEN nq - i <= nall - kk THEN exp(lgamma(kk + 1) - lgamma(i + 1) - lgamma(kk - i + 1) + lgamma(nall - kk + 1) - lgamma(nq - i + 1) - lgamma(nall - kk - nq + i + 1) - lgamma(nall + 1) + lgamma(nq + 1) + lgamma(nall - nq + 1)) ELSE 0 END), 1) AS p_value FROM e GROUP BY ALL),
+r AS (SELECT *, round(p_value, 9) AS pr FROM p), o AS (SELECT *, row_number() OVER (PARTITION BY library ORDER BY p_value) AS rk, count(*) OVER (PARTITION BY library) AS mm FROM r)
+SELECT library, term, kk AS term_size, k AS n_hit, p_value, (k + 0.5e0) * (nall - kk - nq + k + 0.5e0) / ((kk - k + 0.5e0) * (nq - k + 0.5e0)) AS odds_ratio, least(min(p_value * mm / rk) OVER (PARTITION BY library ORDER BY p_value DESC, rk DESC ROWS UNBOUNDED PRECEDING), 1) AS q_value FROM o""", "p_value odds_ratio q_value")
+def _(t):
+    genes = t.gene_sets.where("term = 'Brand#1' or gene like '1-%'").select("gene").distinct()
+    return G.over_representation(t.gene_sets, genes, ["library", "term"]).select("library", "term", "term_size", "n_hit", "p_value", "odds_ratio", "q_value")
+
+
+_W = "w AS (SELECT entity AS gene, avg(score) AS w FROM stages GROUP BY 1)"
+
+
+@register("enrich_overlap_weights", f"WITH {_W} SELECT library, term, count(*) AS n, avg(w) AS mean_w, avg(abs(w)) AS mean_abs_w, sum(w) AS sum_w FROM gene_sets JOIN w USING (gene) GROUP BY 1, 2", "mean_w mean_abs_w sum_w")
+def _(t):
+    return G.term_overlap_weights(t.gene_sets, t.stages.groupBy(F.col("entity").alias("gene")).agg(F.avg("score").alias("w")))
+
+
+_SIM = "s AS (SELECT DISTINCT term, gene FROM gene_sets), n AS (SELECT term, count(*) AS n FROM s GROUP BY 1), k AS (SELECT a.term AS src, b.term AS dst, count(*) AS k FROM s a JOIN s b ON a.gene = b.gene AND a.term < b.term GROUP BY 1, 2)"
+
+
+@register("pathway_similarity", f"WITH {_SIM} SELECT src, dst, k / CAST(x.n + y.n - k AS DOUBLE) AS weight FROM k JOIN n x ON x.term = src JOIN n y ON y.term = dst WHERE k / CAST(x.n + y.n - k AS DOUBLE) >= 0.3", "weight")
+def _(t):
+    return G.similarity_edges(t.gene_sets, 0.3)
+
+
+@register("pathway_overlap_coefficient", f"WITH {_SIM} SELECT src, dst, k / CAST(least(x.n, y.n) AS DOUBLE) AS weight FROM k JOIN n x ON x.term = src JOIN n y ON y.term = dst WHERE k / CAST(least(x.n, y.n) AS DOUBLE) >= 0.5", "weight")
+def _(t):
+    return G.similarity_edges(t.gene_sets, 0.5, "overlap")
+
+
+_STRONG = "e AS (SELECT src, dst, weight FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY weight DESC, dst) AS k FROM edges) WHERE k <= 1)"
+
+
+def strong(t):
+    k = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("weight"), "dst"))
+    return t.edges.withColumn("k", k).where("k <= 1").drop("k")
+
+
+@register("graph_components", f"""WITH RECURSIVE {_STRONG}, b AS (SELECT src AS u, dst AS v FROM e UNION SELECT dst, src FROM e), r(node, reach) AS (SELECT u, u FROM b UNION SELECT r.node, b.v FROM r JOIN b ON b.u = r.reach)
+SELECT node, min(reach) AS component FROM r GROUP BY node""")
+def _(t):
+    return G.components(strong(t))
+
+
+@register("graph_keep_large", f"""WITH RECURSIVE {_STRONG}, b AS (SELECT src AS u, dst AS v FROM e UNION SELECT dst, src FROM e), r(node, reach) AS (SELECT u, u FROM b UNION SELECT r.node, b.v FROM r JOIN b ON b.u = r.reach),
+z AS (SELECT node, count(*) AS n FROM r GROUP BY node) SELECT src, dst, weight FROM e JOIN z ON z.node = src WHERE n >= 4 AND src <> dst""")
+def _(t):
+    return G.keep_large(strong(t), 4)
+
+
+_DEG = "d AS (SELECT node, count(*) AS degree, CAST(sum(weight) AS BIGINT) AS strength FROM (SELECT src AS node, weight FROM edges UNION ALL SELECT dst, weight FROM edges) GROUP BY 1)"
+
+
+@register("graph_degrees", f"WITH {_DEG} SELECT node, degree, strength, degree / CAST(greatest(count(*) OVER () - 1, 1) AS DOUBLE) AS centrality, CASE WHEN max(degree) OVER () > min(degree) OVER () THEN (degree - min(degree) OVER ()) / CAST(max(degree) OVER () - min(degree) OVER () AS DOUBLE) ELSE 0 END AS hub_score FROM d", "centrality hub_score")
+def _(t):
+    return G.degrees(t.edges)
+
+
+@register("graph_label_propagation")
+def _(t):
+    return G.label_propagation(t.edges)
+
+
+@register("graph_module_density", f"""WITH m AS (SELECT term AS module, gene AS node FROM gene_sets WHERE library = 'type'), i AS (SELECT x.module, count(*) AS e FROM edges JOIN m x ON x.node = src JOIN m y ON y.node = dst AND y.module = x.module GROUP BY 1), n AS (SELECT module, count(*) AS n FROM m GROUP BY 1)
+SELECT module, n, CASE WHEN n > 1 THEN 2.0e0 * coalesce(e, 0) / (n * (n - 1)) ELSE 0 END AS density FROM n LEFT JOIN i USING (module)""", "density")
+def _(t):
+    m = t.gene_sets.where("library = 'type'").select(F.col("term").alias("module"), F.col("gene").alias("node"))
+    return G.module_coherence(m, t.edges, G.degrees(t.edges)).select("module", "n", "density")
+
+
+@register("graph_module_coherence")
+def _(t):
+    m = t.gene_sets.where("library = 'type'").select(F.col("term").alias("module"), F.col("gene").alias("node"))
+    return G.module_coherence(m, t.edges, G.degrees(t.edges))
+
+
+@register("edge_status", "WITH o AS (SELECT src, dst FROM edges WHERE weight >= 2), k AS (SELECT src, dst, weight FROM edges WHERE src LIKE '1-%' OR dst LIKE '2-%') SELECT o.src, o.dst, CASE WHEN k.weight IS NULL THEN 'missing' WHEN k.weight >= 4 THEN 'known' ELSE 'below_threshold' END AS status FROM o LEFT JOIN k ON k.src = o.src AND k.dst = o.dst")
+def _(t):
+    return G.edge_status(t.edges.where("weight >= 2"), t.edges.where("src like '1-%' or dst like '2-%'"), 4)
+
+
+@register("stage_ranks", "SELECT stage_index, entity, score, row_number() OVER (PARTITION BY stage_index ORDER BY score DESC, entity) AS rank FROM stages", "score")
+def _(t):
+    return G.ranked_stages(t.stages)
+
+
+@register("stage_progression", """WITH l AS (SELECT max(stage_index) AS last FROM stages), d AS (SELECT *, score - lag(score) OVER (PARTITION BY entity ORDER BY stage_index) AS d FROM stages WHERE hash_ok(entity, stage_index)),
+g AS (SELECT entity, count(*) AS n, min(stage_index) AS a, max(stage_index) AS b, bool_and(d > 0) AS up, bool_and(d < 0) AS down, regr_slope(score, stage_index) AS slope, arg_max(score, stage_index) - arg_min(score, stage_index) AS contrast, max(score) - min(score) AS score_range FROM d GROUP BY 1)
+SELECT entity, n, CASE WHEN n = 1 THEN 'stage_specific' WHEN n >= 3 AND up THEN 'monotonic_up' WHEN n >= 3 AND down THEN 'monotonic_down' WHEN b < last THEN 'early_only' WHEN a > 0 THEN 'late_only' ELSE 'stable' END AS label, slope, contrast, score_range FROM g, l""".replace("hash_ok(entity, stage_index)", "TRUE"), "slope contrast score_range")
+def _(t):
+    return G.progression(t.stages)
+
+
+@register("term_topk", "SELECT library, term, n FROM (SELECT library, term, count(*) AS n, row_number() OVER (PARTITION BY library ORDER BY count(*) DESC, term) AS k FROM gene_sets GROUP BY 1, 2) WHERE k <= 10")
+def _(t):
+    g = t.gene_sets.groupBy("library", "term").agg(F.count("*").alias("n"))
+    return g.withColumn("k", F.row_number().over(Window.partitionBy("library").orderBy(F.desc("n"), "term"))).where("k <= 10").drop("k")

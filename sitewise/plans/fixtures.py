@@ -115,7 +115,8 @@ def duck(text: str, rounds: list[str]) -> str:
     ctes = [f"{n} AS ({(SQL[n] if isinstance(SQL[n], str) else SQL[n][1]).strip()})" for n in names]
     body = text.strip()
     if ctes:
-        body = f"WITH {', '.join(ctes)}, {body[5:]}" if body[:5].upper() == "WITH " else f"WITH {', '.join(ctes)} {body}"
+        head = next((h for h in ("WITH RECURSIVE ", "WITH ") if body.startswith(h)), "")
+        body = f"{head}{', '.join(ctes)}, {body[len(head):]}" if head else f"WITH {', '.join(ctes)} {body}"
     if rounds:
         body = f"SELECT * REPLACE ({', '.join(f'round(CAST({c} AS DOUBLE), 6) AS {c}' for c in rounds)}) FROM ({body})"
     return body

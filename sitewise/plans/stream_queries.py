@@ -1 +1,52 @@
-"""Registered queries."""
+"""Queries that replay tables through Structured Streaming, with batch twins."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..shared import new_path
+from ..streaming import jobs as J
+from .centroid_queries import CENTROID, joined_bins
+from .registry import register
+
+
+def _files(t, df, name, parts=3):
+    path = new_path(t.spark, name)
+    df.repartition(parts).write.parquet(path)
+    return path
+
+
+def _events(t):
+    e = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id", "value")
+    # A last row far ahead moves the watermark past every window, so that all are closed.
+    end = e.agg(F.max("ts").alias("ts")).select(F.lit(-1).cast("long").alias("event_id"), (F.col("ts") + F.expr("interval 365 days")).alias("ts"), F.lit("end").alias("event_type"), F.lit(-1).cast(e.schema["user_id"].dataType).alias("user_id"), F.lit(0.0).alias("value"))
+    path = new_path(t.spark, "events-stream")
+    e.repartition(2).write.parquet(path)
+    end.write.mode("append").parquet(path)
+    return J.read_stream(t.spark, path, e.schema, files_per_trigger=100)
+
+
+@register("stream_centroid", f"WITH c AS ({CENTROID.replace('SELECT cohort, chrom', 'SELECT chrom').replace('GROUP BY cohort, chrom', 'GROUP BY chrom')}) SELECT chrom, context, pos, N, Sm, Su, Sc2, bins FROM c")
+def _(t):
+    src = _files(t, t.site_counts, "counts-stream")
+    out = new_path(t.spark, "centroid-parts")
+    J.centroid_stream(J.read_stream(t.spark, src, t.site_counts.schema), out)().awaitTermination()
+    return joined_bins(J.centroid_total(t.spark, out)).select("chrom", "context", "pos", "N", "Sm", "Su", "Sc2", "bins")
+
+
+@register("stream_window_durations", """SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n, avg(value) AS mean, stddev_samp(value) AS sd FROM events GROUP BY 1, 2""", "mean sd")
+def _(t):
+    out = J.windowed_durations(_events(t), "ts", "1 hour", "1 day", None, "event_type", "value")
+    return J.run_to_table(out, new_path(t.spark, "stream-out")).where("event_type <> 'end'").select("window_start", "event_type", "n", "mean", "sd")
+
+
+@register("stream_without_repeats", "SELECT DISTINCT event_id FROM events")
+def _(t):
+    return J.run_to_table(J.without_repeats(_events(t), "ts", "400 days", ["event_id"]).select("event_id"), new_path(t.spark, "stream-out")).where("event_id >= 0")
+
+
+@register("stream_sessions", """WITH g AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS brk FROM events),
+s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts, brk DESC ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(ts) AS session_start, count(*) AS n, max(value) AS largest FROM s GROUP BY user_id, k""", "largest")
+def _(t):
+    out = J.sessions(_events(t), "ts", "1 hour", "6 hours", "user_id", "value")
+    return J.run_to_table(out, new_path(t.spark, "stream-out")).where("user_id >= 0").select("user_id", "session_start", "n", "largest")
