@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import new_path
-from . import bpe, chat, minhash, mixing, quality, secrets, toxicity, vectors, warc
+from . import bpe, chat, minhash, mixing, quality, secrets, toxicity, training_order, vectors, warc
 
 #: The public tokenizer of op4 and the pipeline.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: That of op3, with the id that is free for the end of a text.
+BYTE_TOKENIZER, END_OF_TEXT = public_tokenizers.path("byte_bpe_50k.tiktoken"), 50_256
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +32,15 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence of all documents at its slot, read back from the shards."""
+    path = new_path(spark, "training-order")
+    training_order.write_order(_table(spark, sf_dir, "documents"), path, BYTE_TOKENIZER, public_tokenizers.PATTERN, END_OF_TEXT)
+    records = training_order.read_order(spark, path).select("slot", F.sha2("record", 256).alias("record_sha256"))
+    index = spark.read.schema("slot long, doc_id long, part int, n_tokens int").parquet(f"{path}/index")
+    return index.join(records, "slot").select("slot", "doc_id", "part", "n_tokens", "record_sha256")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of their decoded text."""
     coded = bpe.encode(_table(spark, sf_dir, "documents"), TOKENIZER)
@@ -165,6 +176,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dup": op1_minhash_near_dup,
         "op2_quality_rules": op2_quality_rules,
+        "op3_training_order": op3_training_order,
         "op4_bpe": op4_bpe,
         "op5_chat_format": op5_chat_format,
         "op6_secret_scan": op6_secret_scan,
