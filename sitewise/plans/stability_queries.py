@@ -91,9 +91,9 @@ def _(t):
     return S.summary(t.qc_metrics, ["metric"])
 
 
-@register("metric_constant", """SELECT run_id, count(DISTINCT l) AS n_distinct, CASE WHEN count(DISTINCT l) = 1 THEN min(l) END AS constant, max(l) - min(l) AS spread FROM (SELECT run_id, chrom AS c, count(*) AS l FROM runs GROUP BY 1, 2) GROUP BY run_id""")
+@register("metric_constant", """SELECT run_id, count(DISTINCT l) AS n_distinct, CASE WHEN count(DISTINCT l) = 1 THEN min(l) ELSE -1 END AS constant, max(l) - min(l) AS spread FROM (SELECT run_id, chrom AS c, count(*) AS l FROM runs GROUP BY 1, 2) GROUP BY run_id""")
 def _(t):
-    return S.constant_or_summary(t.runs.groupBy("run_id", "chrom").agg(F.count("*").alias("value")), ["run_id"])
+    return S.constant_or_summary(t.runs.groupBy("run_id", "chrom").agg(F.count("*").alias("value")), ["run_id"]).na.fill(-1, ["constant"])
 
 
 @register("panel_frequency_by_chrom", "SELECT run_id, chrom, count(*) AS n, count(*) / CAST(sum(count(*)) OVER (PARTITION BY run_id) AS DOUBLE) AS share FROM (SELECT DISTINCT run_id, chrom, pos FROM runs) GROUP BY 1, 2", "share")
