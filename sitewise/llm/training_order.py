@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import tiktoken
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from ..shared import materialize
 
 #: Tokens of a sequence, its bytes on disk, records of a shard.
-LENGTH, RECORDS = 512, 1024
+LENGTH, RECORDS = 512, 256
 STRIDE = 2 * LENGTH
 #: Rounds of the Feistel network and rows of a batch in Python.
 ROUNDS, SLICE_ROWS = 6, 200
@@ -142,6 +143,12 @@ def write_order(docs: DataFrame, path: str, tokenizer: str, pattern: str, end: i
 def read_order(spark: SparkSession, path: str, start: int = 0) -> DataFrame:
     """(slot, record) from slot ``start`` on; earlier shards are not read."""
     shards = spark.read.schema("shard long, data binary").parquet(f"{path}/shards").where(F.col("shard") >= start // RECORDS)
-    place = F.sequence(F.lit(0), F.floor(F.length("data") / STRIDE).cast("int") - 1)
-    records = shards.select("shard", F.posexplode(F.transform(place, lambda i: F.substring(F.col("data"), i * STRIDE + 1, F.lit(STRIDE)))).alias("i", "record"))
-    return records.select((F.col("shard") * RECORDS + F.col("i")).alias("slot"), "record").where(F.col("slot") >= start)
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for shard, data in zip(b.column("shard").to_pylist(), b.column("data")):
+                whole = np.frombuffer(data.as_buffer(), np.uint8)
+                n = len(whole) // STRIDE
+                record = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * STRIDE), pa.py_buffer(whole)])
+                yield pa.RecordBatch.from_arrays([pa.array(shard * RECORDS + np.arange(n, dtype=np.int64)), record], ["slot", "record"])
+
+    return shards.mapInArrow(split, "slot long, record binary").where(F.col("slot") >= start)
