@@ -3,7 +3,7 @@
 Two first-order models over characters, one of random strings and one of ordinary
 identifiers, are trained by counting transitions. A token is a secret when the log of
 their likelihood ratio is high. Values of the fixed patterns label the random strings;
-words that a bounded set of documents holds twice or more label the ordinary ones.
+words that all documents together hold twice or more label the ordinary ones.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ ORDINARY = r"[A-Za-z][A-Za-z0-9+/_=-]{3,}"
 #: Characters of the models; all others share one state.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 STATES = len(ALPHABET) + 1
-#: Documents, by smallest hash, whose words are the labelled ordinary sample; likewise secrets.
-MAX_ORDINARY_DOCS, MAX_SECRETS = 2_000, 50_000
+#: Distinct labelled secrets, by smallest hash, that train the random model.
+MAX_SECRETS = 50_000
 #: Weight of the single characters in the estimate of a transition.
 BACKOFF = 5.0
 #: A token is a secret at this log-likelihood ratio a character and in all.
@@ -58,15 +58,15 @@ def _found(text: Column, pattern: str, kind: int) -> Column:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, base, tokens, *keep): spans of the fixed patterns, and tokens outside them to judge."""
+    """(doc_id, base, tokens, *keep): spans of the fixed patterns, and tokens to judge: those not wholly inside one such span."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), *keep, text.alias("__text"))
     t = F.col("__text")
     assign = F.filter(_found(t, ASSIGN, 0), lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 1)) >= 12)
     base = F.array_sort(F.concat(assign, _found(t, ACCESS, 1), _found(t, HEX, 2)))
     rows = rows.select("doc_id", *keep, base.alias("base"), _found(t, TOKEN, 3).alias("tokens"))
-    apart = F.filter("tokens", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return rows.withColumn("tokens", apart)
+    judged = F.filter("tokens", lambda s: ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
+    return rows.withColumn("tokens", judged)
 
 
 def transitions(value: Column) -> Column:
@@ -77,7 +77,7 @@ def transitions(value: Column) -> Column:
     return F.transform(F.filter(pairs, lambda p: p["b"].isNotNull()), lambda p: p["a"] * STATES + p["b"])
 
 
-def train(scanned: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
+def train(scanned: DataFrame, docs: DataFrame, text_col: str = "text") -> list[float]:
     """Log ratios of the transition probabilities, random over ordinary, STATES**2 values.
 
     Counting runs in Spark; at most 2 * STATES**2 sums reach the driver. A transition falls
@@ -89,13 +89,11 @@ def train(scanned: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col:
         scanned.select(F.explode("base").alias("s")).select(value.alias("value")).distinct()
         .orderBy(F.md5("value"), "value").limit(MAX_SECRETS).select("value", F.lit(1).cast("long").alias("n"), F.lit(True).alias("random"))
     )
-    chosen = docs.select(F.md5(F.col(id_col).cast("string")).alias("hash"), F.col(id_col).alias("__id")).orderBy("hash").limit(MAX_ORDINARY_DOCS)
     clear = F.coalesce(F.col(text_col), F.lit(""))
     for pattern in (ASSIGN, ACCESS, HEX):
         clear = F.regexp_replace(clear, pattern, " ")
     words = (
-        docs.join(F.broadcast(chosen.select("__id").distinct()), F.col(id_col) == F.col("__id"), "left_semi")
-        .select(F.explode(F.regexp_extract_all(clear, F.lit(ORDINARY), F.lit(0))).alias("value"))
+        docs.select(F.explode(F.regexp_extract_all(clear, F.lit(ORDINARY), F.lit(0))).alias("value"))
         .groupBy("value").agg(F.count("*").alias("n")).where("n > 1").withColumn("random", F.lit(False))
     )
     both = secret.unionByName(words).select("random", "n", F.explode(transitions(F.col("value"))).alias("step"))
@@ -123,11 +121,12 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, *keep, base, spans): arrays of (start, kind, end, value) sorted by start, then kind.
 
     Places are code points, ends exclusive. ``base`` holds the fixed patterns' spans and
-    ``spans`` those plus the models'. A token that meets a base span is not judged again.
+    ``spans`` those plus the models'. A token wholly inside a base span is not judged again;
+    one that only meets it is, as a whole.
     Null and empty texts have no spans; repeated rows get equal ones.
     """
     scanned = materialize(scan(docs, id_col, text_col, keep), "secret-scan")
-    ratios = train(scanned, docs, id_col, text_col)
+    ratios = train(scanned, docs, text_col)
     score = lambda s: llr(s["value"], ratios)
     hit = F.filter("tokens", lambda s: score(s) >= F.greatest(F.lit(MIN_TOTAL), MIN_MEAN * F.length(s["value"])))
     return scanned.select("doc_id", *keep, "base", F.array_sort(F.concat("base", hit)).alias("spans"))

@@ -136,6 +136,29 @@ def test_secrets(spark):
     assert secrets.find_secrets(docs.limit(0)).count() == 0
 
 
+def test_secret_around_a_base_span(spark):
+    token = "xoxb-123456789012-1234567890123456-AbCdEfGhIjKlMnOpQrStUvWx"
+    rng = np.random.default_rng(1)
+    plain = [(100 + i, f"ordinary_identifier_{w} another-common-name of the getConfigurationManager {w}") for i, w in enumerate("alpha beta gamma delta".split() * 30)]
+    labelled = [(500 + i, "token = " + "".join(rng.choice(list(secrets.ALPHABET), 24))) for i in range(300)]
+    docs = spark.createDataFrame([(1, f"see {token} here"), (2, "0123456789abcdef" * 2), *plain, *labelled], "doc_id long, text string")
+    found = secrets.find_secrets(docs, keep=("text",))
+    got = {r.doc_id: r for r in found.select("doc_id", secrets.span_text(F.col("spans")).alias("s"), secrets.redact(F.col("text"), F.col("spans")).alias("r")).collect()}
+    assert got[1].s == f"markov:4:{4 + len(token)},hex:22:38" and got[1].r == "see [SECRET] here"
+    assert got[2].s == "hex:0:32"
+
+
+def test_ordinary_words_of_all_documents(spark):
+    rows = [(i, "qzj") for i in range(5_000)] + [(5_000 + i, "configuration") for i in range(5_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    a, b = (secrets.ALPHABET.index(c) + 1 for c in "co")
+    steps = 5_000 * (len("configuration") - 1)
+    single = lambda c: (5_000 * "configuration"[1:].count(c) + 1) / (steps + secrets.STATES)
+    ordinary = (5_000 + secrets.BACKOFF * single("o")) / (5_000 + secrets.BACKOFF)
+    ratios = secrets.train(secrets.scan(docs), docs)
+    assert ratios[a * secrets.STATES + b] == pytest.approx(np.log(1 / secrets.STATES / ordinary), rel=1e-9)
+
+
 def test_redact(spark):
     span = "named_struct('start', {}, 'end', {})".format
     spans = F.expr(f"array({span(1, 3)}, {span(2, 4)}, {span(6, 7)})")
