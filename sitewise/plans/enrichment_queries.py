@@ -48,21 +48,16 @@ def _(t):
 _STRONG = "e AS (SELECT src, dst, weight FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY weight DESC, dst) AS k FROM edges) WHERE k <= 1)"
 
 
-def strong(t):
-    k = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("weight"), "dst"))
-    return t.edges.withColumn("k", k).where("k <= 1").drop("k")
-
-
 @register("graph_components", f"""WITH RECURSIVE {_STRONG}, b AS (SELECT src AS u, dst AS v FROM e UNION SELECT dst, src FROM e), r(node, reach) AS (SELECT u, u FROM b UNION SELECT r.node, b.v FROM r JOIN b ON b.u = r.reach)
 SELECT node, min(reach) AS component FROM r GROUP BY node""")
 def _(t):
-    return G.components(strong(t))
+    return G.components(t.edges)
 
 
 @register("graph_keep_large", f"""WITH RECURSIVE {_STRONG}, b AS (SELECT src AS u, dst AS v FROM e UNION SELECT dst, src FROM e), r(node, reach) AS (SELECT u, u FROM b UNION SELECT r.node, b.v FROM r JOIN b ON b.u = r.reach),
 z AS (SELECT node, count(*) AS n FROM r GROUP BY node) SELECT src, dst, weight FROM e JOIN z ON z.node = src WHERE n >= 4 AND src <> dst""")
 def _(t):
-    return G.keep_large(strong(t), 4)
+    return G.keep_large(t.edges, 4)
 
 
 _DEG = "d AS (SELECT node, count(*) AS degree, CAST(sum(weight) AS BIGINT) AS strength FROM (SELECT src AS node, weight FROM edges UNION ALL SELECT dst, weight FROM edges) GROUP BY 1)"

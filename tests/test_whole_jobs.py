@@ -7,7 +7,14 @@ from types import SimpleNamespace
 import pytest
 
 from sitewise.operators import models as M
-from sitewise.plans import models_queries
+from sitewise.plans import fixtures, models_queries, registry
+
+
+def run(monkeypatch, spark, name, **tables):
+    """The registered query with tables of the test in place of the derived ones."""
+    real = fixtures.Tables.__getattr__
+    monkeypatch.setattr(fixtures.Tables, "__getattr__", lambda self, k: tables[k] if k in tables else real(self, k))
+    return registry.queries()[name](spark, "/root/testdata/sf0.001").collect()
 
 
 def test_distances_of_all_samples(spark):
@@ -30,3 +37,20 @@ def test_distances_of_all_samples(spark):
     assert len(near) == 25 and all(one(s, m) == pytest.approx(min(one(s, k) for k in "123")) for s, m in near.items())
     labels = counts.selectExpr("sample_id", "cast(sample_id as long) % 2 as label").distinct()
     assert M.silhouette(d, labels).count() == 25
+
+
+def test_components_of_all_edges(monkeypatch, spark):
+    edges = [("a", "b", 9), ("a", "c", 1), ("d", "e", 5), ("c", "f", 2), ("g", "h", 3), ("g", "i", 2), ("g", "g", 8), ("i", "j", 1), ("k", "l", 1), ("k", "m", 1)]
+    root = {n: n for s, d, _ in edges for n in (s, d)}
+
+    def find(n):
+        return n if root[n] == n else find(root[n])
+
+    for s, d, _ in edges:
+        low, high = sorted((find(s), find(d)))
+        root[high] = low
+    df = spark.createDataFrame(edges, "src string, dst string, weight long")
+    assert {(r.node, r.component) for r in run(monkeypatch, spark, "graph_components", edges=df)} == {(n, find(n)) for n in root}
+    size = lambda n: sum(find(m) == find(n) for m in root)
+    want = {e for e in edges if e[0] != e[1] and size(e[0]) >= 4}
+    assert {tuple(r) for r in run(monkeypatch, spark, "graph_keep_large", edges=df)} == want and len(want) == 6
