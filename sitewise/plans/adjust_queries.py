@@ -75,7 +75,7 @@ def _(t):
 g AS (SELECT sample_id, count(*) AS k, sum(w * CASE WHEN mC + uC > 0 THEN mC / CAST(mC + uC AS DOUBLE) ELSE 0 END) AS s FROM site_counts JOIN p USING (chrom, context, pos) GROUP BY 1)
 SELECT sample_id, k AS n_observed, s + 0.25 AS score, k / CAST(n AS DOUBLE) AS observed_share, CASE WHEN k / CAST(n AS DOUBLE) >= 0.5 THEN 'ok' ELSE 'low_coverage' END AS status FROM g, n""", "score observed_share")
 def _(t):
-    p = t.site_counts.where("pos % 10 = 0").select(*C.KEY, (0.01 * (F.col("pos") % 7)).alias("w")).distinct()
+    p = t.site_counts.select(*C.KEY, (0.01 * (F.col("pos") % 7)).alias("w")).distinct()
     return A.panel_score(t.site_counts, p, 0.25)
 
 

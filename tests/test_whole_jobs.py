@@ -39,6 +39,17 @@ def test_distances_of_all_samples(spark):
     assert M.silhouette(d, labels).count() == 25
 
 
+def test_panels_of_all_sites(monkeypatch, spark):
+    rows = [(str(s), "disease" if s % 2 else "control", "1", "CG", 100 + 2 * p, (s + p) % 10, 10) for s in range(1, 7) for p in range(20)]
+    counts = spark.createDataFrame(rows, "sample_id string, cohort string, chrom string, context string, pos long, mC long, uC long")
+    got = run(monkeypatch, spark, "score_histogram", site_counts=counts)
+    assert {r.sample_id: r.n_loci for r in got} == {str(s): 20 for s in range(1, 7)}
+    got = {r.sample_id: r for r in run(monkeypatch, spark, "panel_score", site_counts=counts)}
+    for s in range(1, 7):
+        want = 0.25 + sum(0.01 * (p % 7) * m / (m + u) for k, _, _, _, p, m, u in rows if k == str(s))
+        assert got[str(s)].n_observed == 20 and got[str(s)].score == pytest.approx(want, abs=2e-6)
+
+
 def test_components_of_all_edges(monkeypatch, spark):
     edges = [("a", "b", 9), ("a", "c", 1), ("d", "e", 5), ("c", "f", 2), ("g", "h", 3), ("g", "i", 2), ("g", "g", 8), ("i", "j", 1), ("k", "l", 1), ("k", "m", 1)]
     root = {n: n for s, d, _ in edges for n in (s, d)}
