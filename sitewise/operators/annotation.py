@@ -40,10 +40,10 @@ def theme(df: DataFrame, term: str, patterns: DataFrame) -> DataFrame:
     return df.join(best, term, "left").withColumn("theme", F.coalesce("theme", F.lit("other")))
 
 
-def tiles_with_sites(tiles: DataFrame, sites: DataFrame) -> DataFrame:
-    """Tiles that hold at least one listed site: their positions are exploded and looked up."""
-    hit = tiles.select("chrom", "tile_start", F.explode("positions").alias("pos")).join(sites.select("chrom", "pos").distinct(), ["chrom", "pos"], "left_semi")
-    return tiles.join(hit.select("chrom", "tile_start").distinct(), ["chrom", "tile_start"], "left_semi")
+def tiles_with_sites(tiles: DataFrame, sites: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Tiles that hold at least one listed site, for each value of ``by``: their positions are exploded and looked up."""
+    hit = tiles.select("chrom", "tile_start", F.explode("positions").alias("pos")).join(sites.select(*by, "chrom", "pos").distinct(), ["chrom", "pos"])
+    return tiles.join(hit.select(*by, "chrom", "tile_start").distinct(), ["chrom", "tile_start"])
 
 
 def annotate(sites: DataFrame, mapped: DataFrame, on: list[str], columns: list[str]) -> DataFrame:

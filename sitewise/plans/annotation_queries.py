@@ -41,7 +41,7 @@ def _(t):
 @register("tile_site_overlap", "SELECT DISTINCT chrom, CAST(pos // 8 * 8 AS BIGINT) AS tile_start FROM sites WHERE (chrom, pos) IN (SELECT chrom, pos FROM runs WHERE run_id = 1)")
 def _(t):
     tiles = t.sites.groupBy("chrom", (F.floor(F.col("pos") / 8) * 8).alias("tile_start")).agg(F.collect_list("pos").alias("positions"))
-    return A.tiles_with_sites(tiles, t.runs.where("run_id = 1")).select("chrom", "tile_start")
+    return A.tiles_with_sites(tiles, t.runs, ("run_id",)).select("run_id", "chrom", "tile_start")
 
 
 @register("annotate_coalesce", """WITH m AS (SELECT chrom, pos, max(effect_size) AS e FROM runs WHERE run_id = 1 GROUP BY 1, 2), s AS (SELECT chrom, pos, avg(effect_size) AS effect_size FROM runs WHERE run_id <= 3 GROUP BY 1, 2)

@@ -134,8 +134,8 @@ def _(t):
 @register("file_sites_csv", "SELECT chrom, pos, p_value, delta_mean, abs(delta_mean) AS effect_size FROM runs WHERE run_id = 1", "p_value delta_mean effect_size")
 def _(t):
     path = new_path(t.spark, "csv")
-    t.runs.where("run_id = 1").select(F.col("chrom").alias("chromosome"), F.col("pos").alias("position"), F.col("p_value").alias("pvalue"), F.col("delta_mean").alias("delta")).write.csv(path, header=True)
-    return files.read_sites_csv(t.spark, path)
+    t.runs.select("run_id", F.col("chrom").alias("chromosome"), F.col("pos").alias("position"), F.col("p_value").alias("pvalue"), F.col("delta_mean").alias("delta")).write.csv(path, header=True)
+    return files.read_sites_csv(t.spark, path, ("run_id",))
 
 
 @register("locus_parse", "SELECT DISTINCT chrom, pos, context FROM site_counts")

@@ -64,7 +64,7 @@ def _(t):
 
 @register("panel_union", "SELECT DISTINCT chrom, pos FROM runs WHERE run_id <= 3")
 def _(t):
-    return t.runs.where("run_id <= 3").select("chrom", "pos").distinct()
+    return t.runs.select("chrom", "pos").distinct()
 
 
 @register("panel_in_all_samples", """SELECT chrom, context, pos FROM site_counts WHERE cohort = 'control' GROUP BY 1, 2, 3 HAVING count(DISTINCT sample_id) >= 0.25 * (SELECT count(DISTINCT sample_id) FROM site_counts WHERE cohort = 'control')""")

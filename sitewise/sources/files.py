@@ -51,12 +51,12 @@ def first_of(df: DataFrame, names: list[str], kind: str) -> Column:
     return F.coalesce(*found) if found else F.lit(None).cast(kind)
 
 
-def read_sites_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A table of tested sites with the usual column names; effect size is repaired from delta and overlap."""
+def read_sites_csv(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A table of tested sites with the usual column names; effect size is repaired from delta and overlap. Integer columns in ``keep`` stay."""
     df = spark.read.csv(path, header=True)
     delta, overlap = first_of(df, ["delta_mean", "delta", "mean_diff"], "double"), first_of(df, ["overlap", "bhattacharyya"], "double")
     return df.select(
-        first_of(df, ["chrom", "chromosome", "chr"], "string").alias("chrom"), first_of(df, ["pos", "position", "start"], "long").alias("pos"),
+        *[F.col(c).cast("int").alias(c) for c in keep], first_of(df, ["chrom", "chromosome", "chr"], "string").alias("chrom"), first_of(df, ["pos", "position", "start"], "long").alias("pos"),
         first_of(df, ["p_value", "pvalue", "p"], "double").alias("p_value"), delta.alias("delta_mean"),
         F.coalesce(first_of(df, ["effect_size", "effect"], "double"), F.abs(delta) * (1 - F.coalesce(overlap, F.lit(0.0)))).alias("effect_size"))
 

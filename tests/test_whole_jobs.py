@@ -50,6 +50,17 @@ def test_panels_of_all_sites(monkeypatch, spark):
         assert got[str(s)].n_observed == 20 and got[str(s)].score == pytest.approx(want, abs=2e-6)
 
 
+def test_all_runs(monkeypatch, spark):
+    rows = [(k, "1", 100 + 8 * k + j, 0.5, 0.25, -0.125 * k) for k in range(1, 8) for j in (0, 2)]
+    runs = spark.createDataFrame(rows, "run_id int, chrom string, pos long, effect_size double, p_value double, delta_mean double")
+    sites = runs.select("chrom", "pos").distinct()
+    assert {r.pos for r in run(monkeypatch, spark, "panel_union", runs=runs)} == {r[2] for r in rows}
+    got = run(monkeypatch, spark, "file_sites_csv", runs=runs)
+    assert sorted((r.run_id, r.pos, r.delta_mean, r.effect_size) for r in got) == sorted((k, p, d, abs(d)) for k, _, p, _, _, d in rows)
+    got = run(monkeypatch, spark, "tile_site_overlap", runs=runs, sites=sites)
+    assert sorted((r.run_id, r.tile_start) for r in got) == sorted({(k, p // 8 * 8) for k, _, p, *_ in rows})
+
+
 def test_components_of_all_edges(monkeypatch, spark):
     edges = [("a", "b", 9), ("a", "c", 1), ("d", "e", 5), ("c", "f", 2), ("g", "h", 3), ("g", "i", 2), ("g", "g", 8), ("i", "j", 1), ("k", "l", 1), ("k", "m", 1)]
     root = {n: n for s, d, _ in edges for n in (s, d)}
