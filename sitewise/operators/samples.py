@@ -98,8 +98,8 @@ def good_runs(pairs: DataFrame, by: list[str], at: str, good: Column, min_pairs:
 
 
 def end_motifs(ends: DataFrame, k: int = 4, by: str = "sample_id", seq: str = "seq") -> DataFrame:
-    """Shares of the first k bases, upper case, motifs with other letters left out."""
-    m = ends.select(by, F.upper(F.substring(seq, 1, k)).alias("motif")).where(F.col("motif").rlike(f"^[ACGT]{{{k}}}$"))
+    """Shares of the first k bases, upper case (ASCII only), motifs with other letters left out."""
+    m = ends.select(by, F.translate(F.substring(seq, 1, k), "acgt", "ACGT").alias("motif")).where(F.col("motif").rlike(f"^[ACGT]{{{k}}}$"))
     g = m.groupBy(by, "motif").agg(F.count("*").alias("n"))
     return g.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(by)))
 

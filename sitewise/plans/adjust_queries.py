@@ -71,7 +71,7 @@ def _(t):
     return A.standardize(t.covariates, ["age", "balance"])
 
 
-@register("panel_score", """WITH p AS (SELECT DISTINCT chrom, context, pos, 0.01e0 * (pos % 7) AS w FROM site_counts WHERE pos % 10 = 0), n AS (SELECT count(*) AS n FROM p),
+@register("panel_score", """WITH p AS (SELECT DISTINCT chrom, context, pos, 0.01e0 * (pos % 7) AS w FROM site_counts), n AS (SELECT count(*) AS n FROM p),
 g AS (SELECT sample_id, count(*) AS k, sum(w * CASE WHEN mC + uC > 0 THEN mC / CAST(mC + uC AS DOUBLE) ELSE 0 END) AS s FROM site_counts JOIN p USING (chrom, context, pos) GROUP BY 1)
 SELECT sample_id, k AS n_observed, s + 0.25 AS score, k / CAST(n AS DOUBLE) AS observed_share, CASE WHEN k / CAST(n AS DOUBLE) >= 0.5 THEN 'ok' ELSE 'low_coverage' END AS status FROM g, n""", "score observed_share")
 def _(t):

@@ -38,18 +38,19 @@ def _(t):
     return A.theme(t.gene_sets, "term", patterns).select("library", "term", "gene", "theme")
 
 
-@register("tile_site_overlap", "SELECT DISTINCT chrom, CAST(pos // 8 * 8 AS BIGINT) AS tile_start FROM sites WHERE (chrom, pos) IN (SELECT chrom, pos FROM runs WHERE run_id = 1)")
+@register("tile_site_overlap", "SELECT DISTINCT run_id, chrom, CAST(pos // 8 * 8 AS BIGINT) AS tile_start FROM sites JOIN runs USING (chrom, pos)")
 def _(t):
     tiles = t.sites.groupBy("chrom", (F.floor(F.col("pos") / 8) * 8).alias("tile_start")).agg(F.collect_list("pos").alias("positions"))
     return A.tiles_with_sites(tiles, t.runs, ("run_id",)).select("run_id", "chrom", "tile_start")
 
 
-@register("annotate_coalesce", """WITH m AS (SELECT chrom, pos, max(effect_size) AS e FROM runs WHERE run_id = 1 GROUP BY 1, 2), s AS (SELECT chrom, pos, avg(effect_size) AS effect_size FROM runs WHERE run_id <= 3 GROUP BY 1, 2)
-SELECT chrom, pos, coalesce(m.e, effect_size) AS effect_size, m.e IS NOT NULL AS matched FROM s LEFT JOIN m USING (chrom, pos)""", "effect_size")
+@register("annotate_coalesce", """WITH m AS (SELECT run_id, chrom, pos, max(effect_size) AS e FROM runs WHERE delta_mean >= 0 GROUP BY 1, 2, 3), s AS (SELECT run_id, chrom, pos, avg(effect_size) AS effect_size FROM runs GROUP BY 1, 2, 3)
+SELECT run_id, chrom, pos, coalesce(m.e, effect_size) AS effect_size, m.e IS NOT NULL AS matched FROM s LEFT JOIN m USING (run_id, chrom, pos)""", "effect_size")
 def _(t):
-    m = t.runs.where("run_id = 1").groupBy("chrom", "pos").agg(F.max("effect_size").alias("effect_size"))
-    s = t.runs.where("run_id <= 3").groupBy("chrom", "pos").agg(F.avg("effect_size").alias("effect_size"))
-    return A.annotate(s, m, ["chrom", "pos"], ["effect_size"])
+    site = ["run_id", "chrom", "pos"]
+    m = t.runs.where("delta_mean >= 0").groupBy(*site).agg(F.max("effect_size").alias("effect_size"))
+    s = t.runs.groupBy(*site).agg(F.avg("effect_size").alias("effect_size"))
+    return A.annotate(s, m, site, ["effect_size"])
 
 
 _EV = "ev AS (SELECT gene, term AS label, CAST(length(term) * 10 + length(gene) AS DOUBLE) AS score FROM gene_sets)"
@@ -106,10 +107,20 @@ def _(t):
     return A.objective(m, {"auc": 0.7, "ba": 0.3}, {"auc": 0.2, "ba": 0.1}).where("passed").select("id", "objective", "passed", F.col("rank").cast("long").alias("rank"))
 
 
-_CALL = "SELECT doc_id AS id, substring(text, 1, 1) AS xm, substring(upper(text), 2, 1) AS ref, substring(upper(text), 3, 1) AS base, CASE WHEN doc_id % 2 = 0 THEN 'CT' ELSE 'GA' END AS xg FROM documents"
+_UP = "translate(c, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')"
 
 
-@register("methylation_call", f"WITH c AS ({_CALL}) SELECT id, CASE WHEN xm IN ('Z', 'X', 'H') THEN 1 WHEN xm IN ('z', 'x', 'h') THEN 0 WHEN xg = 'CT' AND ref = 'C' AND base IN ('C', 'T') THEN CASE WHEN base = 'C' THEN 1 ELSE 0 END WHEN xg = 'GA' AND ref = 'G' AND base IN ('G', 'A') THEN CASE WHEN base = 'G' THEN 1 ELSE 0 END ELSE -1 END AS call FROM c")
+@register("methylation_call", f"""WITH l AS (SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN 'CT' ELSE 'GA' END AS xg, string_split(text, '') AS x, list_transform(string_split(text, ''), lambda c: {_UP}) AS u FROM documents),
+e AS (SELECT id, xg, x, u, unnest(generate_series(1, len(x) - 2)) AS i FROM l),
+c AS (SELECT id, CASE WHEN x[i] IN ('Z', 'X', 'H') THEN 1 WHEN x[i] IN ('z', 'x', 'h') THEN 0 WHEN xg = 'CT' AND u[i + 1] = 'C' AND u[i + 2] IN ('C', 'T') THEN CASE WHEN u[i + 2] = 'C' THEN 1 ELSE 0 END
+WHEN xg = 'GA' AND u[i + 1] = 'G' AND u[i + 2] IN ('G', 'A') THEN CASE WHEN u[i + 2] = 'G' THEN 1 ELSE 0 END END AS call FROM e)
+SELECT doc_id AS id, count(call) FILTER (call = 1) AS n_methylated, count(call) FILTER (call = 0) AS n_unmethylated FROM documents LEFT JOIN c ON c.id = doc_id GROUP BY 1""")
 def _(t):
-    c = t.documents.select(F.col("doc_id").alias("id"), F.substring("text", 1, 1).alias("xm"), F.substring(F.upper("text"), 2, 1).alias("ref"), F.substring(F.upper("text"), 3, 1).alias("base"), F.when(F.col("doc_id") % 2 == 0, "CT").otherwise("GA").alias("xg"))
-    return c.select("id", F.coalesce(A.methylation_call(F.col("xm"), F.col("ref"), F.col("base"), F.col("xg")), F.lit(-1)).alias("call"))
+    # Each character is an XM letter and the next two its reference and read bases: a call at every position of the whole text.
+    xg = F.when(F.col("doc_id") % 2 == 0, "CT").otherwise("GA")
+    c = t.documents.select(F.col("doc_id").alias("id"), xg.alias("xg"), F.split(F.coalesce("text", F.lit("")), "").alias("x"))
+    c = c.withColumn("u", F.transform("x", lambda v: F.translate(v, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")))
+    at = F.filter(F.sequence(F.lit(1), F.greatest(F.size("x") - 2, F.lit(1))), lambda i: i <= F.size("x") - 2)
+    calls = F.transform(at, lambda i: A.methylation_call(F.element_at("x", i), F.element_at("u", i + 1), F.element_at("u", i + 2), F.col("xg")))
+    n = lambda v: F.size(F.filter("calls", lambda k: k == v)).cast("long")
+    return c.select("id", calls.alias("calls")).groupBy("id").agg(F.sum(n(1)).alias("n_methylated"), F.sum(n(0)).alias("n_unmethylated"))

@@ -27,7 +27,7 @@ _GRID = """, e AS (SELECT *, [coalesce(list_sum(h1[1:k]), 0) / greatest(list_sum
 g AS (SELECT * EXCLUDE (e1, e2), [(1 - (j * 20 / 255.0e0 - least(j * 20 // 255, 19))) * e1[least(j * 20 // 255, 19) + 1] + (j * 20 / 255.0e0 - least(j * 20 // 255, 19)) * e1[least(j * 20 // 255, 19) + 2] for j in range(0, 256)] AS g1,
              [(1 - (j * 20 / 255.0e0 - least(j * 20 // 255, 19))) * e2[least(j * 20 // 255, 19) + 1] + (j * 20 / 255.0e0 - least(j * 20 // 255, 19)) * e2[least(j * 20 // 255, 19) + 2] for j in range(0, 256)] AS g2 FROM e)"""
 _OVER = _MW + _GRID.replace("{src}", "t") + """, o AS (
-  SELECT * EXCLUDE (g1, g2), least(greatest(list_sum([sqrt(greatest(g1[j+1] - g1[j], 0) * greatest(g2[j+1] - g2[j], 0)) for j in range(1, 256)]), 0), 1) AS overlap FROM g),
+  SELECT * EXCLUDE (g1, g2), least(greatest(list_sum([sqrt(CASE WHEN g1[j+1] - g1[j] > 1e-13 THEN g1[j+1] - g1[j] ELSE 0 END * CASE WHEN g2[j+1] - g2[j] > 1e-13 THEN g2[j+1] - g2[j] ELSE 0 END) for j in range(1, 256)]), 0), 1) AS overlap FROM g),
 r AS (SELECT chrom, context, pos, n1, n2, mean1, mean2, abs(mean1 - mean2) AS delta_mean, CAST(sign(mean2 - mean1) AS DOUBLE) AS delta_sign, z_stat, p_value, overlap,
         least(greatest(abs(mean1 - mean2) * (1 - overlap) * exp(-2.0e0 * (sqrt(var1) + sqrt(var2))), 0), 1) AS effect_size FROM o)"""
 

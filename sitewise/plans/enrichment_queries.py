@@ -45,17 +45,14 @@ def _(t):
     return G.similarity_edges(t.gene_sets, 0.5, "overlap")
 
 
-_STRONG = "e AS (SELECT src, dst, weight FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY weight DESC, dst) AS k FROM edges) WHERE k <= 1)"
-
-
-@register("graph_components", f"""WITH RECURSIVE {_STRONG}, b AS (SELECT src AS u, dst AS v FROM e UNION SELECT dst, src FROM e), r(node, reach) AS (SELECT u, u FROM b UNION SELECT r.node, b.v FROM r JOIN b ON b.u = r.reach)
+@register("graph_components", """WITH RECURSIVE b AS (SELECT src AS u, dst AS v FROM edges UNION SELECT dst, src FROM edges), r(node, reach) AS (SELECT u, u FROM b UNION SELECT r.node, b.v FROM r JOIN b ON b.u = r.reach)
 SELECT node, min(reach) AS component FROM r GROUP BY node""")
 def _(t):
     return G.components(t.edges)
 
 
-@register("graph_keep_large", f"""WITH RECURSIVE {_STRONG}, b AS (SELECT src AS u, dst AS v FROM e UNION SELECT dst, src FROM e), r(node, reach) AS (SELECT u, u FROM b UNION SELECT r.node, b.v FROM r JOIN b ON b.u = r.reach),
-z AS (SELECT node, count(*) AS n FROM r GROUP BY node) SELECT src, dst, weight FROM e JOIN z ON z.node = src WHERE n >= 4 AND src <> dst""")
+@register("graph_keep_large", """WITH RECURSIVE b AS (SELECT src AS u, dst AS v FROM edges UNION SELECT dst, src FROM edges), r(node, reach) AS (SELECT u, u FROM b UNION SELECT r.node, b.v FROM r JOIN b ON b.u = r.reach),
+z AS (SELECT node, count(*) AS n FROM r GROUP BY node) SELECT src, dst, weight FROM edges JOIN z ON z.node = src WHERE n >= 4 AND src <> dst""")
 def _(t):
     return G.keep_large(t.edges, 4)
 
@@ -73,16 +70,16 @@ def _(t):
     return G.label_propagation(t.edges)
 
 
-@register("graph_module_density", f"""WITH m AS (SELECT term AS module, gene AS node FROM gene_sets WHERE library = 'type'), i AS (SELECT x.module, count(*) AS e FROM edges JOIN m x ON x.node = src JOIN m y ON y.node = dst AND y.module = x.module GROUP BY 1), n AS (SELECT module, count(*) AS n FROM m GROUP BY 1)
+@register("graph_module_density", f"""WITH m AS (SELECT library || ':' || term AS module, gene AS node FROM gene_sets), i AS (SELECT x.module, count(*) AS e FROM edges JOIN m x ON x.node = src JOIN m y ON y.node = dst AND y.module = x.module GROUP BY 1), n AS (SELECT module, count(*) AS n FROM m GROUP BY 1)
 SELECT module, n, CASE WHEN n > 1 THEN 2.0e0 * coalesce(e, 0) / (n * (n - 1)) ELSE 0 END AS density FROM n LEFT JOIN i USING (module)""", "density")
 def _(t):
-    m = t.gene_sets.where("library = 'type'").select(F.col("term").alias("module"), F.col("gene").alias("node"))
+    m = t.gene_sets.select(F.concat_ws(":", "library", "term").alias("module"), F.col("gene").alias("node"))
     return G.module_coherence(m, t.edges, G.degrees(t.edges)).select("module", "n", "density")
 
 
 @register("graph_module_coherence")
 def _(t):
-    m = t.gene_sets.where("library = 'type'").select(F.col("term").alias("module"), F.col("gene").alias("node"))
+    m = t.gene_sets.select(F.concat_ws(":", "library", "term").alias("module"), F.col("gene").alias("node"))
     return G.module_coherence(m, t.edges, G.degrees(t.edges))
 
 

@@ -50,7 +50,7 @@ SQL: dict[str, str | tuple[str, str]] = {
     "runs": """
         SELECT CAST(l_linenumber AS BIGINT) AS run_id, CAST(1 + l_partkey % 3 AS STRING) AS chrom, 100 + 2 * CAST(floor(l_partkey / 3) AS BIGINT) AS pos,
                l_discount * 10 AS effect_size, (1 + l_orderkey % 1000) / 1001.0E0 AS p_value, l_discount - 0.05E0 AS delta_mean, l_orderkey AS tie
-        FROM lineitem WHERE l_returnflag = 'R'""",
+        FROM lineitem""",
     "read_cpgs": (
         """SELECT CAST(label AS STRING) AS sample_id, vec_id AS read_id, CAST(i AS BIGINT) AS i, CAST(100 + 2 * i AS BIGINT) AS pos, CAST(CASE WHEN v > 0 THEN 1 ELSE 0 END AS BIGINT) AS meth
            FROM (SELECT label, vec_id, posexplode(embedding) AS (i, v) FROM embeddings) t""",
@@ -118,7 +118,7 @@ def duck(text: str, rounds: list[str]) -> str:
         head = next((h for h in ("WITH RECURSIVE ", "WITH ") if body.startswith(h)), "")
         body = f"{head}{', '.join(ctes)}, {body[len(head):]}" if head else f"WITH {', '.join(ctes)} {body}"
     if rounds:
-        body = f"SELECT * REPLACE ({', '.join(f'round(CAST({c} AS DOUBLE), 6) AS {c}' for c in rounds)}) FROM ({body})"
+        body = f"SELECT * REPLACE ({', '.join(f'round(CAST({c} AS DOUBLE) + 1e-10, 6) AS {c}' for c in rounds)}) FROM ({body})"
     return body
 
 

@@ -82,7 +82,7 @@ def _(t):
 
 
 @register("pmd_load", """WITH l AS (SELECT sample_id, chrom, pos, CASE WHEN mC + uC > 0 THEN mC / CAST(mC + uC AS DOUBLE) ELSE 0 END AS x FROM site_counts WHERE mC + uC >= 5),
-w AS (SELECT *, unnest(generate_series(greatest((pos - 1000) // 500 + 1, 0), pos // 500)) * 500 AS window_start FROM l),
+w AS (SELECT *, unnest(generate_series(greatest(CAST(floor((pos - 1000) / 500.0e0) AS BIGINT) + 1, 0), pos // 500)) * 500 AS window_start FROM l),
 g AS (SELECT sample_id, chrom, window_start, avg(x) AS m FROM w GROUP BY ALL)
 SELECT sample_id, count(*) AS n_windows, count(*) FILTER (m < 0.5) AS n_pmd, count(*) FILTER (m < 0.5) / CAST(count(*) AS DOUBLE) AS pmd_load FROM g GROUP BY sample_id""", "pmd_load")
 def _(t):

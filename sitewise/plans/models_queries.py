@@ -29,7 +29,7 @@ def _(t):
     return M.block_mean(s, 6)
 
 
-_X = "x AS (SELECT sample_id, chrom, context, pos, CASE WHEN mC + uC > 0 THEN mC / CAST(mC + uC AS DOUBLE) ELSE 0 END AS x FROM site_counts WHERE CAST(sample_id AS BIGINT) <= 20)"
+_X = "x AS (SELECT sample_id, chrom, context, pos, CASE WHEN mC + uC > 0 THEN mC / CAST(mC + uC AS DOUBLE) ELSE 0 END AS x FROM site_counts)"
 _D = f"WITH {_X}, d AS (SELECT a.sample_id AS a, b.sample_id AS b, count(*) AS n_common, avg(abs(a.x - b.x)) AS distance FROM x a JOIN x b USING (chrom, context, pos) WHERE a.sample_id < b.sample_id GROUP BY 1, 2)"
 
 
@@ -131,7 +131,7 @@ def _(t):
     return files.read_gmt(t.spark, path)
 
 
-@register("file_sites_csv", "SELECT chrom, pos, p_value, delta_mean, abs(delta_mean) AS effect_size FROM runs WHERE run_id = 1", "p_value delta_mean effect_size")
+@register("file_sites_csv", "SELECT run_id, chrom, pos, p_value, delta_mean, abs(delta_mean) AS effect_size FROM runs", "p_value delta_mean effect_size")
 def _(t):
     path = new_path(t.spark, "csv")
     t.runs.select("run_id", F.col("chrom").alias("chromosome"), F.col("pos").alias("position"), F.col("p_value").alias("pvalue"), F.col("delta_mean").alias("delta")).write.csv(path, header=True)

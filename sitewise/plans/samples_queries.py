@@ -79,12 +79,14 @@ def _(t):
     return S.good_runs(pairs, ["sample_id"], "i", F.col("same") >= 0.5, 2)
 
 
-_ENDS = "SELECT source AS sample_id, translate(upper(substring(text, 1, 8)), 'BDEFHIJKLMOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTA') AS seq FROM documents"
+#: Letters to bases, ASCII of either case; others stay and make no motif.
+_LETTERS, _BASES = "bdefhijklmopqrsuvwxyzacgtnBDEFHIJKLMOPQRSUVWXYZ", "ACGTACGTACGTACGTACGTAACGTNACGTACGTACGTACGTACGTA"
+_ENDS = f"SELECT source AS sample_id, translate(substring(text, 1, 8), '{_LETTERS}', '{_BASES}') AS seq FROM documents"
 
 
 @register("end_motifs", f"WITH e AS ({_ENDS}), m AS (SELECT sample_id, substring(seq, 1, 4) AS motif FROM e WHERE regexp_full_match(substring(seq, 1, 4), '[ACGT]{{4}}')) SELECT sample_id, motif, count(*) AS n, count(*) / CAST(sum(count(*)) OVER (PARTITION BY sample_id) AS DOUBLE) AS share FROM m GROUP BY 1, 2", "share")
 def _(t):
-    seq = F.translate(F.upper(F.substring("text", 1, 8)), "BDEFHIJKLMOPQRSUVWXYZ", "ACGTACGTACGTACGTACGTA")
+    seq = F.translate(F.substring("text", 1, 8), _LETTERS, _BASES)
     return S.end_motifs(t.documents.select(F.col("source").alias("sample_id"), seq.alias("seq")))
 
 

@@ -65,7 +65,7 @@ def _(t):
 
 _H = CENTROID.replace("array_to_string([", "[").replace("], ',') AS bins", "] AS h")
 _BIN = "CASE WHEN mC + uC > 0 THEN least((mC * 20) // (mC + uC), 19) ELSE 0 END"
-_PANEL = f"WITH c AS ({_H}), p AS (SELECT x.chrom, x.context, x.pos, x.h AS h1, y.h AS h2, abs(x.Sx / x.N - y.Sx / y.N) + 0.01e0 AS w FROM c x JOIN c y USING (chrom, context, pos) WHERE x.cohort = 'control' AND y.cohort = 'disease' AND pos % 10 = 0)"
+_PANEL = f"WITH c AS ({_H}), p AS (SELECT x.chrom, x.context, x.pos, x.h AS h1, y.h AS h2, abs(x.Sx / x.N - y.Sx / y.N) + 0.01e0 AS w FROM c x JOIN c y USING (chrom, context, pos) WHERE x.cohort = 'control' AND y.cohort = 'disease')"
 _D = "greatest(ln(greatest({h}[b + 1] / list_sum({h}) * 20, 1e-300)), -20)"
 
 

@@ -62,7 +62,7 @@ def _(t):
     return S.rank_agreement(r(1), r(2), ["chrom", "pos"], "v")
 
 
-@register("panel_union", "SELECT DISTINCT chrom, pos FROM runs WHERE run_id <= 3")
+@register("panel_union", "SELECT DISTINCT chrom, pos FROM runs")
 def _(t):
     return t.runs.select("chrom", "pos").distinct()
 
