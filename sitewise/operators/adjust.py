@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .centroid import KEY, level
+from .running import quantiles
 
 
 def fit_covariate(values: DataFrame, covariate: DataFrame, x: str, by: list[str] | None = None, y: str = "m") -> DataFrame:
@@ -75,7 +78,7 @@ def log_ratios(composition: DataFrame, reference: str, pseudocount: float = 1e-6
 
 def standardize(df: DataFrame, columns: list[str]) -> DataFrame:
     """Columns with missing values at the median, centred and scaled by the population deviation."""
-    med = df.agg(*[F.percentile(c, 0.5).alias(f"__m_{c}") for c in columns])
+    med = reduce(lambda x, y: x.crossJoin(F.broadcast(y)), [quantiles(df, c, {f"__m_{c}": 0.5}) for c in columns])  # one row each
     filled = df.crossJoin(F.broadcast(med)).withColumns({c: F.coalesce(F.col(c), F.col(f"__m_{c}")) for c in columns}).drop(*[f"__m_{c}" for c in columns])
     st = filled.agg(*[x for c in columns for x in (F.avg(c).alias(f"__a_{c}"), F.stddev_pop(c).alias(f"__s_{c}"))])
     scaled = filled.crossJoin(F.broadcast(st))

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .running import running
+
 #: Fixed order of evidence levels, weakest first.
 EVIDENCE = ("none", "predicted", "weak", "moderate", "strong", "definitive")
 
@@ -88,8 +90,9 @@ def gene_plateau(ranked: DataFrame, patience: int) -> DataFrame:
     """
     first = ranked.groupBy("gene_id").agg(F.min("rank").alias("rank"))
     end = ranked.agg(F.max("rank").alias("end"))
-    w = Window.orderBy("rank")  # a row per gene
-    gaps = first.withColumn("next", F.lead("rank").over(w)).withColumn("n_genes", F.row_number().over(w)).crossJoin(F.broadcast(end))
+    placed = running(first, [], ["rank"], {"n_genes": F.lit(1)})
+    after = placed.select((F.col("n_genes") - 1).alias("n_genes"), F.col("rank").alias("next"))
+    gaps = placed.join(after, "n_genes", "left").crossJoin(F.broadcast(end))  # one row
     flat = gaps.where(F.coalesce("next", F.col("end") + 1) - F.col("rank") > patience)
     return flat.agg(F.min("rank").alias("k"), F.min("n_genes").alias("n_genes"))
 

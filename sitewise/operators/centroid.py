@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import materialize
+from .running import quantiles
+
 KEY = ["chrom", "context", "pos"]
 BINS = 20
 STATS = ["N", "Sx", "Sx2", "Sm", "Su", "Sc2", "Swx2"]
@@ -110,10 +113,11 @@ def coverage_outliers(counts: DataFrame, threshold: float = 3.5) -> DataFrame:
 def validate_pair(a: DataFrame, b: DataFrame, trim: float = 0.1) -> DataFrame:
     """Medians of two cohorts' means and the mean absolute difference without its lowest tenth."""
     both = a.select(*KEY, mean().alias("m1")).join(b.select(*KEY, mean().alias("m2")), KEY).withColumn("d", F.abs(F.col("m1") - F.col("m2")))
-    cut = both.agg(F.percentile("d", trim).alias("cut"))
-    return both.crossJoin(F.broadcast(cut)).agg(  # one row
-        F.count("*").alias("n_common"), F.percentile("m1", 0.5).alias("median1"), F.percentile("m2", 0.5).alias("median2"),
-        F.avg(F.when(F.col("d") >= F.col("cut"), F.col("d"))).alias("trimmed_delta"))
+    both = materialize(both, "pair")  # read four times
+    ends = [quantiles(both, c, {n: p}) for c, n, p in (("d", "cut", trim), ("m1", "median1", 0.5), ("m2", "median2", 0.5))]
+    row = reduce(lambda x, y: x.crossJoin(F.broadcast(y)), ends)  # one row each
+    return both.crossJoin(F.broadcast(row)).groupBy("median1", "median2").agg(
+        F.count("*").alias("n_common"), F.avg(F.when(F.col("d") >= F.col("cut"), F.col("d"))).alias("trimmed_delta")).select("n_common", "median1", "median2", "trimmed_delta")
 
 
 def heterogeneity() -> Column:

@@ -9,6 +9,7 @@ from ..functions import histograms as H
 from ..functions import special
 from ..shared import materialize
 from . import centroid, fdr
+from .running import quantiles, running
 
 KEY = centroid.KEY
 
@@ -89,10 +90,10 @@ def compare(a: DataFrame, b: DataFrame, min_samples: int = 2, min_delta: float =
 
 def select_by_mass(df: DataFrame, value: str, share: float, by: list[str]) -> DataFrame:
     """Rows of largest value, ties by site, up to and with the one that reaches the share of the group's total."""
-    order = Window.partitionBy(*by).orderBy(F.desc(value), "chrom", "context", "pos").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*by)
-    run = df.withColumn("__before", F.sum(value).over(order) - F.col(value)).withColumn("__all", F.sum(value).over(whole))
-    return run.where(F.col("__before") < share * F.col("__all")).drop("__before", "__all")
+    run = running(df, by, [F.desc(value), "chrom", "context", "pos"], {"__upto": value})
+    whole = df.groupBy(*by).agg(F.sum(value).alias("__all"))
+    run = run.join(whole, by) if by else run.crossJoin(F.broadcast(whole))  # one row
+    return run.where(F.col("__upto") - F.col(value) < share * F.col("__all")).select(df.columns)
 
 
 def regions(sites: DataFrame, q: str, threshold: float, max_gap: int) -> DataFrame:
@@ -107,9 +108,12 @@ def regions(sites: DataFrame, q: str, threshold: float, max_gap: int) -> DataFra
 def elbow(df: DataFrame, value: str, by: list[str], log_eps: float | None = None) -> DataFrame:
     """Rank of the interior point farthest from the chord, on x and y scaled to 0..1; the first on ties."""
     y = F.log(F.col(value) + log_eps) if log_eps is not None else F.col(value).cast("double")
-    w, whole = Window.partitionBy(*by).orderBy(F.desc(value)), Window.partitionBy(*by)
-    r = df.select(*by, value, F.row_number().over(w).alias("rank"), F.count("*").over(whole).alias("n"), y.alias("y"))
-    lo, hi = F.min("y").over(whole), F.max("y").over(whole)
+    counts = df.groupBy(*by, F.col(value)).agg(F.count("*").alias("__n"))
+    placed = running(counts, by, [F.desc(value)], {"__last": "__n"}).withColumn("y", y)
+    whole = placed.groupBy(*by).agg(F.max("__last").alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi"))
+    # On a run of equal values the distance is linear in the rank, so its two ends suffice.
+    r = placed.join(whole, by).withColumn("rank", F.explode(F.array_distinct(F.array(F.col("__last") - F.col("__n") + 1, F.col("__last")))))
+    lo, hi = F.col("lo"), F.col("hi")
     s = r.withColumn("x", (F.col("rank") - 1) / F.greatest(F.col("n") - 1, F.lit(1))).withColumn("ys", F.when(hi > lo, (F.col("y") - lo) / (hi - lo)).otherwise(F.lit(0.0)))
     ends = s.groupBy(*by).agg(F.max_by("ys", F.struct("x")).alias("y_last"), F.min_by("ys", F.struct("x")).alias("y_first"))
     d = s.join(ends, by).withColumn("d", F.abs((F.col("y_last") - F.col("y_first")) * F.col("x") - F.col("ys") + F.col("y_first")) / F.sqrt(1 + F.pow(F.col("y_last") - F.col("y_first"), F.lit(2))))
@@ -126,7 +130,7 @@ def funnel(df: DataFrame, passed: Column) -> DataFrame:
 
 def context_weights(df: DataFrame, value: str, trim: float = 0.1, inverse: bool = False) -> DataFrame:
     """Mean of each context without its lowest and highest shares, scaled to sum 1."""
-    q = df.groupBy("context").agg(F.percentile(value, trim).alias("lo"), F.percentile(value, 1 - trim).alias("hi"))
+    q = quantiles(df, value, {"lo": trim, "hi": 1 - trim}, ["context"])
     m = df.join(q, "context").where(F.col(value).between(F.col("lo"), F.col("hi"))).groupBy("context").agg(F.avg(value).alias("m"))
     w = (1 / F.greatest("m", F.lit(1e-12))) if inverse else F.col("m")
     total = m.agg(F.sum(w).alias("t"))

@@ -1,8 +1,9 @@
 """False-discovery control without a one-partition sort.
 
 Equal p-values share a q-value, so the work runs on distinct p. They are cut into buckets
-of about 1.6 % relative width; only bucket totals are ranked in one window per group, and
-ranks and running minima inside a bucket are added to those of the buckets around it.
+of about 1.6 % relative width for small p and of 1 / 65,536 above 1 / 64; only bucket totals
+are ranked in one window per group, and ranks and running minima inside a bucket are added
+to those of the buckets around it. All frames start at the first row, so each is linear.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .running import running
+
 #: Fixed λ grids of the two estimators.
 PAIR_LAMBDAS = [0.05 * k for k in range(1, 20)]
 LIBRARY_LAMBDAS = [0.01 + 0.94 * k / 99 for k in range(100)]
@@ -28,20 +31,22 @@ def pi0(df: DataFrame, p: str, by: list[str], lambdas: list[float], centre: str)
 
 def q_values(df: DataFrame, p: str, by: list[str], scale: DataFrame, clip: bool = True, to: str = "q_value") -> DataFrame:
     """Adds the smallest of pi0 * m * p / rank over this and all larger p of the group; null p gives null q."""
-    bucket = F.floor(F.log(F.greatest(F.col("__p"), F.lit(MIN_P))) * 64)
+    small = F.floor(F.log(F.greatest(F.col("__p"), F.lit(MIN_P))) * 64)  # below 0, so before the others
+    bucket = F.when(F.col("__p") < 1 / 64, small).otherwise(F.floor(F.col("__p") * 65_536))
     distinct = df.where(F.col(p).isNotNull()).groupBy(*by, F.col(p).alias("__p")).agg(F.count("*").alias("__n")).withColumn("__b", bucket)
     totals = distinct.groupBy(*by, "__b").agg(F.sum("__n").alias("__t"))
     order = Window.partitionBy(*by).orderBy("__b") if by else Window.orderBy("__b")  # bucket totals only
     before = totals.withColumn("__off", F.sum("__t").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__t")).drop("__t")
-    inside = Window.partitionBy(*by, "__b").orderBy("__p")
+    backwards = (Window.partitionBy(*by) if by else Window).orderBy(F.desc("__b"))
+    inside, upwards = Window.partitionBy(*by, "__b").orderBy("__p"), Window.partitionBy(*by, "__b").orderBy(F.desc("__p"))
     scale = scale.select(*by, F.col("m").alias("__m"), F.col("pi0").alias("__pi0"))
     joined = distinct.join(before, [*by, "__b"])
     joined = joined.join(scale, by) if by else joined.crossJoin(F.broadcast(scale))  # one row
     rank = F.col("__off") + F.sum("__n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     ratio = joined.withColumn("__r", F.col("__pi0") * F.col("__m") * F.col("__p") / rank)
     least = ratio.groupBy(*by, "__b").agg(F.min("__r").alias("__min"))
-    later = least.select(*by, "__b", F.min("__min").over(order.rowsBetween(1, Window.unboundedFollowing)).alias("__later"))
-    q = F.least(F.min("__r").over(inside.rowsBetween(0, Window.unboundedFollowing)), F.coalesce("__later", F.lit(float("inf"))))
+    later = least.select(*by, "__b", F.min("__min").over(backwards.rowsBetween(Window.unboundedPreceding, -1)).alias("__later"))
+    q = F.least(F.min("__r").over(upwards.rowsBetween(Window.unboundedPreceding, 0)), F.coalesce("__later", F.lit(float("inf"))))
     table = ratio.join(later, [*by, "__b"]).select(*[F.col(c).alias(f"__g_{c}") for c in by], F.col("__p"), (F.least(q, F.lit(1.0)) if clip else q).alias(to))
     match = [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in by] + [F.col(p) == F.col("__p")]
     return df.join(table, match, "left").drop("__p", *[f"__g_{c}" for c in by])
@@ -63,8 +68,7 @@ def benjamini_hochberg(df: DataFrame, p: str, by: list[str]) -> DataFrame:
 def average_rank(df: DataFrame, value: str, by: list[str], to: str) -> DataFrame:
     """Rank with ties averaged, from counts of distinct values: (values below) + (ties + 1) / 2."""
     counts = df.groupBy(*by, F.col(value).alias("__v")).agg(F.count("*").alias("__n"))
-    w = (Window.partitionBy(*by) if by else Window).orderBy("__v")
-    ranks = counts.withColumn(to, F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n") + (F.col("__n") + 1) / 2)
+    ranks = running(counts, by, ["__v"], {"__c": "__n"}).withColumn(to, F.col("__c") - F.col("__n") + (F.col("__n") + 1) / 2)
     ranks = ranks.select(*[F.col(c).alias(f"__g_{c}") for c in by], "__v", to)
     match = [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in by] + [F.col(value).eqNullSafe(F.col("__v"))]
     return df.join(ranks, match, "left").drop("__v", *[f"__g_{c}" for c in by])

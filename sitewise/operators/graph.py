@@ -48,14 +48,29 @@ def term_overlap_weights(sets: DataFrame, weights: DataFrame) -> DataFrame:
 
 
 def similarity_edges(sets: DataFrame, threshold: float, coefficient: str = "jaccard") -> DataFrame:
-    """Pairs of terms with that much Jaccard or overlap coefficient; only pairs that share a gene are formed."""
-    s = sets.select(F.col("term"), "gene").distinct()
-    size = s.groupBy("term").agg(F.count("*").alias("n"))
-    a, b = s.select(F.col("term").alias("src"), "gene"), s.select(F.col("term").alias("dst"), "gene")
-    shared = a.join(b, "gene").where("src < dst").groupBy("src", "dst").agg(F.count("*").alias("k"))
-    j = shared.join(size.select(F.col("term").alias("src"), F.col("n").alias("na")), "src").join(size.select(F.col("term").alias("dst"), F.col("n").alias("nb")), "dst")
+    """Pairs of terms with that much Jaccard or overlap coefficient.
+
+    Candidates come from prefixes: of a term's n genes, rarest first, the first n - k + 1
+    must hold a gene shared with any term that shares k or more, and k is at least
+    ceil(threshold * n). So common genes form no pairs but where nothing rarer is left, and
+    only candidates are counted exactly.
+    """
+    s = sets.select("term", "gene").distinct()
+    rarity = s.groupBy("gene").agg(F.count("*").alias("df"))
+    of_term = Window.partitionBy("term")
+    ordered = s.join(rarity, "gene").select("term", "gene", F.row_number().over(of_term.orderBy("df", "gene")).alias("place"), F.count("*").over(of_term).alias("n"))
+    ordered = materialize(ordered, "terms")
+    prefix = ordered.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).select("gene", F.col("term").alias("a"), F.col("n").alias("na"))
+    # The smaller term's prefix meets the other's prefix for Jaccard, all its genes for the overlap coefficient.
+    other = (prefix if coefficient == "jaccard" else ordered.select("gene", F.col("term").alias("a"), F.col("n").alias("na"))).select("gene", F.col("a").alias("b"), F.col("na").alias("nb"))
+    smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    sized = smaller & (F.col("na") >= threshold * F.col("nb") - 1e-9) if coefficient == "jaccard" else smaller
+    pairs = materialize(prefix.join(other, "gene").where(sized).select("a", "b", "na", "nb").distinct(), "term-pairs")
+    genes = s.select("term", "gene")
+    both = pairs.join(genes.withColumnRenamed("term", "a"), "a").join(genes.withColumnRenamed("term", "b"), ["b", "gene"])
+    shared = both.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("k"))
     below = F.least("na", "nb") if coefficient == "overlap" else F.col("na") + F.col("nb") - F.col("k")
-    return j.withColumn("weight", F.col("k") / below).where(F.col("weight") >= threshold).select("src", "dst", "weight")
+    return shared.withColumn("weight", F.col("k") / below).where(F.col("weight") >= threshold).select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"), "weight")
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:

@@ -50,11 +50,12 @@ def nearest(sites: DataFrame, regions: DataFrame, span: int = 1 << 16, bin_size:
     rows = marks.unionByName(points, allowMissingColumns=True).withColumn("cell", F.floor(F.col("at") / span))
     # A region's end e is left of pos when e <= pos; its start s is right of pos when s > pos.
     order = Window.partitionBy("chrom", "cell").orderBy("at", F.col("is_site").isNotNull())
+    back = Window.partitionBy("chrom", "cell").orderBy(F.desc("at"), F.desc(F.col("is_site").isNotNull()))
     rows = rows.withColumn("l", F.last("left", True).over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
-        "r", F.first("right", True).over(order.rowsBetween(0, Window.unboundedFollowing)))
+        "r", F.last("right", True).over(back.rowsBetween(Window.unboundedPreceding, 0)))
     cells = rows.groupBy("chrom", "cell").agg(F.max("left").alias("cl"), F.min("right").alias("cr"))
-    by_cell = Window.partitionBy("chrom").orderBy("cell")
-    cells = cells.select("chrom", "cell", F.last("cl", True).over(by_cell.rowsBetween(Window.unboundedPreceding, -1)).alias("cl"), F.first("cr", True).over(by_cell.rowsBetween(1, Window.unboundedFollowing)).alias("cr"))
+    ups, downs = (Window.partitionBy("chrom").orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.asc("cell"), F.desc("cell")))
+    cells = cells.select("chrom", "cell", F.last("cl", True).over(ups).alias("cl"), F.last("cr", True).over(downs).alias("cr"))
     found = rows.where("is_site").join(cells, ["chrom", "cell"]).select("chrom", F.col("at").alias("pos"), F.coalesce("l", "cl").alias("l"), F.coalesce("r", "cr").alias("r"))
     inside = overlap(sites.select("chrom", "pos").distinct(), regions.select("chrom", "region_start", "region_end", "gene_id"), bin_size).groupBy("chrom", "pos").agg(F.min("gene_id").alias("over"))
     dl, dr = F.col("pos") - F.col("l.e") + 1, F.col("r.s") - F.col("pos")

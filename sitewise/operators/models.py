@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shared import materialize
+from .running import add_up, deal
 
 
 def softmax(values: Column) -> Column:
@@ -77,7 +78,7 @@ def concordance(rows: DataFrame, buckets: int = 512) -> DataFrame:
     cells = b.groupBy("time", "b").agg(F.count("*").alias("n"), F.sum("event").alias("d"))
     every = b.select("time").distinct().withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     grid = every.join(cells, ["time", "b"], "left").na.fill(0, ["n", "d"])
-    later = F.sum("n").over(Window.partitionBy("b").orderBy("time").rowsBetween(1, Window.unboundedFollowing))
+    later = F.sum("n").over(Window.partitionBy("b").orderBy(F.desc("time")).rowsBetween(Window.unboundedPreceding, -1))
     grid = grid.withColumn("later", F.coalesce(later, F.lit(0)))
     lower = F.sum("later").over(Window.partitionBy("time").orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
     grid = grid.withColumn("lower", F.coalesce(lower, F.lit(0))).withColumn("others", F.sum("later").over(Window.partitionBy("time")) - F.col("later"))
@@ -95,16 +96,17 @@ def cox_fit(rows: DataFrame, columns: list[str], steps: int = 12, ridge: float =
     """
     p = len(columns)
     beta, value = np.zeros(p), 0.0
+    dealt = deal(rows.select("time", "event", *columns), [], [F.desc("time")])
     for _ in range(steps):
         eta = sum((F.col(c) * float(b) for c, b in zip(columns, beta)), F.lit(0.0))
-        r = rows.select("time", "event", *columns, F.exp(eta).alias("e"))
+        r = dealt.select("__part", "time", "event", *columns, F.exp(eta).alias("e"))
         first = [F.sum(F.col("e") * F.col(c)).alias(f"s{i}") for i, c in enumerate(columns)]
         second = [F.sum(F.col("e") * F.col(columns[i]) * F.col(columns[j])).alias(f"s{i}_{j}") for i in range(p) for j in range(i + 1)]
         deaths = [F.sum(F.col("event") * F.col(c)).alias(f"d{i}") for i, c in enumerate(columns)]
-        g = r.groupBy("time").agg(F.sum("e").alias("s"), F.sum("event").alias("d"), F.sum(F.col("event") * F.log("e")).alias("de"), *first, *second, *deaths)
-        w = Window.orderBy("time").rowsBetween(0, Window.unboundedFollowing)  # one row per distinct time
+        g = r.groupBy("__part", "time").agg(F.sum("e").alias("s"), F.sum("event").alias("d"), F.sum(F.col("event") * F.log("e")).alias("de"), *first, *second, *deaths)
         names = ["s", *[f"s{i}" for i in range(p)], *[f"s{i}_{j}" for i in range(p) for j in range(i + 1)]]
-        q = g.select("d", "de", *[f"d{i}" for i in range(p)], *[F.sum(n).over(w).alias(n) for n in names]).where("d > 0")
+        totals = add_up(g, [], [F.desc("time")], {f"r_{n}": n for n in names})
+        q = totals.select("d", "de", *[f"d{i}" for i in range(p)], *[F.col(f"r_{n}").alias(n) for n in names]).where("d > 0")
         grad = [F.sum(F.col(f"d{i}") - F.col("d") * F.col(f"s{i}") / F.col("s")) for i in range(p)]
         info = [F.sum(F.col("d") * (F.col(f"s{i}_{j}") / F.col("s") - F.col(f"s{i}") * F.col(f"s{j}") / (F.col("s") * F.col("s")))) for i in range(p) for j in range(i + 1)]
         out = [float(x) for x in q.agg(F.sum(F.col("de") - F.col("d") * F.log("s")), *grad, *info).first()]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import fdr
+from .running import running
 from .stability import hash31
 
 CELLS = ("tp", "fp", "tn", "fn")
@@ -66,19 +67,22 @@ def rank_auc(pred: DataFrame, score: str = "p1", by: list[str] | None = None) ->
 
 
 def bootstrap(pred: DataFrame, draws: int, seed: int = 13) -> DataFrame:
-    """Confusion cells of each stratified resample, then quantiles of balanced accuracy.
+    """Quantiles of balanced accuracy over stratified resamples of each class.
 
-    Row i of a class draws a row of its class by an arithmetic hash of (draw, i), so the
-    resamples do not depend on partitions or engine.
+    Only whether a drawn row was predicted rightly counts, so a class is its size and its
+    number of right rows, put first: pick i of a draw takes place hash(draw, i) modulo the
+    size and is right below that number. Picks are a range that tasks share out; no row is
+    sorted, numbered or joined, and the resamples do not depend on partitions or engine.
     """
-    n = Window.partitionBy("y_true")
-    rows = pred.select("y_true", "y_pred", (F.row_number().over(n.orderBy("id")) - 1).cast("long").alias("i"), F.count("*").over(n).alias("n"))
-    asks = rows.select("y_true", "i", "n", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw")).withColumn("j", hash31(F.col("i") + 1, F.col("draw").cast("long"), seed) % F.col("n"))
-    got = asks.groupBy("draw", "y_true", "j").agg(F.count("*").alias("times")).join(rows.select("y_true", F.col("i").alias("j"), "y_pred"), ["y_true", "j"])
-    cell = lambda t, p: F.sum(F.when((F.col("y_true") == t) & (F.col("y_pred") == p), F.col("times")).otherwise(0))
-    cells = got.groupBy("draw").agg(cell(1, 1).alias("tp"), cell(0, 1).alias("fp"), cell(0, 0).alias("tn"), cell(1, 0).alias("fn"))
-    b = rates(cells)
-    return b.agg(F.count("*").alias("draws"), F.avg("balanced_accuracy").alias("mean"), F.percentile("balanced_accuracy", 0.025).alias("low"), F.percentile("balanced_accuracy", 0.975).alias("high"))
+    cells = confusion(pred).first()
+    sizes = {1: (cells.tp + cells.fn, cells.tp), 0: (cells.tn + cells.fp, cells.tn)}
+    parts = []
+    for label, (n, right) in sizes.items():
+        pick = pred.sparkSession.range(draws * n).select((F.col("id") / F.lit(max(n, 1))).cast("long").alias("draw"), (F.col("id") % max(n, 1) + 1).alias("i"))
+        place = hash31(F.col("i"), F.col("draw") + 1, seed) % max(n, 1)
+        parts.append(pick.groupBy("draw").agg(F.avg((place < right).cast("double")).alias(f"rate{label}")))
+    b = parts[0].join(parts[1], "draw").select(((F.col("rate1") + F.col("rate0")) / 2).alias("b"))
+    return b.agg(F.count("*").alias("draws"), F.avg("b").alias("mean"), F.percentile("b", 0.025).alias("low"), F.percentile("b", 0.975).alias("high"))
 
 
 def decide(pred: DataFrame, p: str, margin: float, confidence: float) -> DataFrame:
@@ -118,35 +122,36 @@ def histogram_scores(counts: DataFrame, panel: DataFrame, temperature: float = 1
 def prefix_search(scores: DataFrame, target: float) -> DataFrame:
     """Balanced accuracy of every panel size k from per-locus scores (sample_id, y_true, rank, score).
 
-    The running sum of each sample is carried over ranks by one window; a sample without a
-    locus keeps its last sum. All k are evaluated in one job.
+    A sample is called positive at k where the sum of its scores of the first k loci is above
+    0. Each sample gives a +1 or -1 at the ranks where its call changes, and running totals
+    of these by rank give the cells of every k, so only rows that exist are read. ``chosen``
+    marks the smallest k that reaches the target.
     """
-    ranks = scores.select("rank").distinct()
-    samples = scores.groupBy("sample_id").agg(F.first("y_true").alias("y_true"))
-    grid = samples.crossJoin(ranks)  # panel sites by samples: the table that is evaluated
-    full = grid.join(scores.select("sample_id", "rank", "score"), ["sample_id", "rank"], "left")
-    run = Window.partitionBy("sample_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    s = full.withColumn("sum", F.sum(F.coalesce("score", F.lit(0.0))).over(run)).withColumn("y_pred", (F.col("sum") > 0).cast("int"))
-    b = rates(confusion(s, ["rank"])).select(F.col("rank").alias("k"), "balanced_accuracy")
-    reached = F.col("balanced_accuracy") >= target
-    return b.withColumn("reached", reached)
+    run = Window.partitionBy("sample_id").orderBy("rank")
+    called = scores.withColumn("call", (F.sum("score").over(run.rowsBetween(Window.unboundedPreceding, 0)) > 0).cast("int"))
+    moved = called.withColumn("move", F.col("call") - F.coalesce(F.lag("call").over(run), F.lit(0)))
+    steps = moved.groupBy("rank").agg(F.sum(F.when(F.col("y_true") == 1, F.col("move")).otherwise(0)).alias("m1"), F.sum(F.when(F.col("y_true") == 1, 0).otherwise(F.col("move"))).alias("m0"))
+    sizes = scores.groupBy("sample_id").agg(F.max("y_true").alias("y")).agg(F.count_if(F.col("y") == 1).alias("n1"), F.count_if(F.col("y") != 1).alias("n0"))
+    cells = running(steps, [], ["rank"], {"tp": "m1", "fp": "m0"}).crossJoin(F.broadcast(sizes))  # one row
+    b = rates(cells.select("rank", "tp", "fp", (F.col("n0") - F.col("fp")).alias("tn"), (F.col("n1") - F.col("tp")).alias("fn")))
+    b = b.select(F.col("rank").alias("k"), "balanced_accuracy", (F.col("balanced_accuracy") >= target).alias("reached"))
+    least = b.where("reached").agg(F.min("k").alias("__least"))
+    return b.crossJoin(F.broadcast(least)).select("k", "balanced_accuracy", "reached", F.coalesce(F.col("k") == F.col("__least"), F.lit(False)).alias("chosen"))
 
 
 def kaplan_meier(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Survival at each event time, from counts per time."""
     by = by or []
     g = rows.groupBy(*by, "time").agg(F.count("*").alias("n"), F.sum("event").alias("d"))
-    w = (Window.partitionBy(*by) if by else Window).orderBy("time")  # one row per distinct time
-    r = g.withColumn("at_risk", F.sum("n").over(w.rowsBetween(0, Window.unboundedFollowing))).where("d > 0")
+    r = running(g, by, [F.desc("time")], {"at_risk": "n"}).where("d > 0")
     step = F.when(F.col("d") < F.col("at_risk"), F.log(1 - F.col("d") / F.col("at_risk"))).otherwise(F.lit(-1e9))
-    return r.select(*by, "time", "at_risk", "d", F.exp(F.sum(step).over(w.rowsBetween(Window.unboundedPreceding, 0))).alias("survival"))
+    return running(r, by, ["time"], {"log_s": step}).select(*by, "time", "at_risk", "d", F.exp("log_s").alias("survival"))
 
 
 def log_rank(rows: DataFrame, group: Column) -> DataFrame:
     """Observed and expected events of group 1 and the chi-square statistic, from counts per time."""
     g = rows.withColumn("g", group.cast("int")).groupBy("time").agg(F.count("*").alias("n"), F.sum("g").alias("n1"), F.sum("event").alias("d"), F.sum(F.col("event") * F.col("g")).alias("d1"))
-    w = Window.orderBy("time").rowsBetween(0, Window.unboundedFollowing)  # one row per distinct time
-    r = g.withColumn("r", F.sum("n").over(w)).withColumn("r1", F.sum("n1").over(w)).where("d > 0")
+    r = running(g, [], [F.desc("time")], {"r": "n", "r1": "n1"}).where("d > 0")
     e = F.col("d") * F.col("r1") / F.col("r")
     v = F.when(F.col("r") > 1, e * (1 - F.col("r1") / F.col("r")) * (F.col("r") - F.col("d")) / (F.col("r") - 1)).otherwise(F.lit(0.0))
     s = r.agg(F.sum("d1").alias("observed"), F.sum(e).alias("expected"), F.sum(v).alias("variance"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import annotation as A
 from ..operators import intervals as I
+from ..operators.running import running
 from .registry import register
 
 _ROLL = "g AS (SELECT entity AS gene, sum(score) AS score, count(*) AS n FROM stages GROUP BY 1)"
@@ -93,9 +94,7 @@ def _(t):
 @register("gene_plateau", """WITH r AS (SELECT row_number() OVER (ORDER BY chrom, pos) AS rank, chrom || '-' || CAST(pos // 40 AS VARCHAR) AS gene_id FROM sites), f AS (SELECT gene_id, min(rank) AS rank FROM r GROUP BY 1),
 g AS (SELECT rank, lead(rank) OVER (ORDER BY rank) AS nx, row_number() OVER (ORDER BY rank) AS n_genes, (SELECT max(rank) FROM r) AS e FROM f) SELECT min(rank) AS k, min(n_genes) AS n_genes FROM g WHERE coalesce(nx, e + 1) - rank > 15""")
 def _(t):
-    from pyspark.sql import Window
-
-    r = t.sites.select(F.row_number().over(Window.orderBy("chrom", "pos")).cast("long").alias("rank"), F.concat_ws("-", "chrom", F.floor(F.col("pos") / 40).cast("string")).alias("gene_id"))
+    r = running(t.sites, [], ["chrom", "pos"], {"rank": F.lit(1)}).select("rank", F.concat_ws("-", "chrom", F.floor(F.col("pos") / 40).cast("string")).alias("gene_id"))
     return A.gene_plateau(r, 15).select("k", F.col("n_genes").cast("long").alias("n_genes"))
 
 

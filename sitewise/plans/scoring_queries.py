@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import centroid as C
 from ..operators import scoring as S
+from ..operators.running import quantiles
 from .centroid_queries import BY, CENTROID
 from .registry import register
 
@@ -39,12 +40,12 @@ def _(t):
     return S.rank_auc(t.predictions)
 
 
-@register("eval_bootstrap", """WITH r AS (SELECT y_true, y_pred, row_number() OVER (PARTITION BY y_true ORDER BY id) - 1 AS i, count(*) OVER (PARTITION BY y_true) AS n FROM predictions), d AS (SELECT unnest(generate_series(1, 20)) AS draw),
-a AS (SELECT draw, y_true, (((i + 1) * 48271 + draw * 69621 + 13 * 16807) % 2147483647) % n AS j FROM r, d), g AS (SELECT a.draw, a.y_true, r.y_pred FROM a JOIN r ON r.y_true = a.y_true AND r.i = a.j),
-c AS (SELECT draw, count(*) FILTER (y_true = 1 AND y_pred = 1) / CAST(count(*) FILTER (y_true = 1) AS DOUBLE) AS se, count(*) FILTER (y_true = 0 AND y_pred = 0) / CAST(count(*) FILTER (y_true = 0) AS DOUBLE) AS sp FROM g GROUP BY draw)
-SELECT count(*) AS draws, avg((se + sp) / 2) AS mean, quantile_cont((se + sp) / 2, 0.025) AS low, quantile_cont((se + sp) / 2, 0.975) AS high FROM c""", "mean low high")
+@register("eval_bootstrap", """WITH s AS (SELECT y_true, count(*) AS n, count(*) FILTER (y_true = y_pred) AS good FROM predictions GROUP BY 1),
+a AS (SELECT draw, y_true, ((i * 48271 + draw * 69621 + 13 * 16807) % 2147483647) % n < good AS hit FROM (SELECT y_true, n, good, unnest(generate_series(1, n)) AS i FROM s), generate_series(1, 1000) d(draw)),
+c AS (SELECT draw, y_true, avg(CASE WHEN hit THEN 1.0e0 ELSE 0 END) AS r FROM a GROUP BY 1, 2), b AS (SELECT draw, avg(r) AS b FROM c GROUP BY 1)
+SELECT count(*) AS draws, avg(b) AS mean, quantile_cont(b, 0.025) AS low, quantile_cont(b, 0.975) AS high FROM b""", "mean low high")
 def _(t):
-    return S.bootstrap(t.predictions, 20)
+    return S.bootstrap(t.predictions, 1000)
 
 
 @register("eval_decision", """WITH r AS (SELECT id, p1, CASE WHEN abs(2 * p1 - 1) < 0.1 THEN 'low_margin' WHEN greatest(p1, 1 - p1) < 0.6 THEN 'low_confidence' ELSE 'ok' END AS reason FROM predictions)
@@ -86,7 +87,8 @@ def _(t):
 g AS (SELECT a.sample_id, r.rank, coalesce(s.score, 0) AS score FROM (SELECT DISTINCT sample_id FROM s) a CROSS JOIN (SELECT DISTINCT rank FROM s) r LEFT JOIN s ON s.sample_id = a.sample_id AND s.rank = r.rank),
 k AS (SELECT sample_id % 2 AS y, rank, CASE WHEN sum(score) OVER (PARTITION BY sample_id ORDER BY rank) > 0 THEN 1 ELSE 0 END AS p FROM g)
 SELECT rank AS k, (count(*) FILTER (y = 1 AND p = 1) / CAST(count(*) FILTER (y = 1) AS DOUBLE) + count(*) FILTER (y = 0 AND p = 0) / CAST(count(*) FILTER (y = 0) AS DOUBLE)) / 2 AS balanced_accuracy,
-(count(*) FILTER (y = 1 AND p = 1) / CAST(count(*) FILTER (y = 1) AS DOUBLE) + count(*) FILTER (y = 0 AND p = 0) / CAST(count(*) FILTER (y = 0) AS DOUBLE)) / 2 >= 0.5 AS reached FROM k GROUP BY rank""", "balanced_accuracy")
+(count(*) FILTER (y = 1 AND p = 1) / CAST(count(*) FILTER (y = 1) AS DOUBLE) + count(*) FILTER (y = 0 AND p = 0) / CAST(count(*) FILTER (y = 0) AS DOUBLE)) / 2 >= 0.5 AS reached,
+rank = (SELECT min(rank) FROM (SELECT rank, (count(*) FILTER (y = 1 AND p = 1) / CAST(count(*) FILTER (y = 1) AS DOUBLE) + count(*) FILTER (y = 0 AND p = 0) / CAST(count(*) FILTER (y = 0) AS DOUBLE)) / 2 AS b FROM k GROUP BY rank) WHERE b >= 0.5) AS chosen FROM k GROUP BY rank""", "balanced_accuracy")
 def _(t):
     s = t.lineitem.groupBy(F.col("l_suppkey").alias("sample_id"), (1 + F.col("l_partkey") % 25).alias("rank")).agg(F.sum((F.round(F.col("l_discount") * 100) - 4)).alias("score"))
     return S.prefix_search(s.withColumn("y_true", F.col("sample_id") % 2), 0.5)
@@ -104,5 +106,5 @@ def _(t):
 r AS (SELECT *, CAST(sum(n) OVER (ORDER BY time DESC) AS DOUBLE) AS r, CAST(sum(n1) OVER (ORDER BY time DESC) AS DOUBLE) AS r1 FROM g)
 SELECT CAST(sum(d1) AS BIGINT) AS observed, sum(d * r1 / r) AS expected, (sum(d1) - sum(d * r1 / r)) ** 2 / sum(CASE WHEN r > 1 THEN d * r1 / r * (1 - r1 / r) * (r - d) / (r - 1) ELSE 0 END) AS chi2 FROM r WHERE d > 0""", "expected chi2")
 def _(t):
-    med = t.survival.agg(F.percentile("risk", 0.5).alias("med"))
+    med = quantiles(t.survival, "risk", {"med": 0.5})
     return S.log_rank(t.survival.crossJoin(F.broadcast(med)), F.col("risk") > F.col("med"))
