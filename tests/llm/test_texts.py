@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -142,8 +143,8 @@ def test_secret_around_a_base_span(spark):
     plain = [(100 + i, f"ordinary_identifier_{w} another-common-name of the getConfigurationManager {w}") for i, w in enumerate("alpha beta gamma delta".split() * 30)]
     labelled = [(500 + i, "token = " + "".join(rng.choice(list(secrets.ALPHABET), 24))) for i in range(300)]
     docs = spark.createDataFrame([(1, f"see {token} here"), (2, "0123456789abcdef" * 2), *plain, *labelled], "doc_id long, text string")
-    found = secrets.find_secrets(docs, keep=("text",))
-    got = {r.doc_id: r for r in found.select("doc_id", secrets.span_text(F.col("spans")).alias("s"), secrets.redact(F.col("text"), F.col("spans")).alias("r")).collect()}
+    found = secrets.with_redacted(secrets.find_secrets(docs, keep=("text",)), "text", "spans", "r")
+    got = {r.doc_id: r for r in found.select("doc_id", secrets.span_text(F.col("spans")).alias("s"), "r").collect()}
     assert got[1].s == f"markov:4:{4 + len(token)},hex:22:38" and got[1].r == "see [SECRET] here"
     assert got[2].s == "hex:0:32"
 
@@ -162,7 +163,7 @@ def test_ordinary_words_of_all_documents(spark):
 def test_redact(spark):
     span = "named_struct('start', {}, 'end', {})".format
     spans = F.expr(f"array({span(1, 3)}, {span(2, 4)}, {span(6, 7)})")
-    row = spark.createDataFrame([("ab🙂cdefgh",)], "t string").select(secrets.redact(F.col("t"), spans).alias("r")).first()
+    row = secrets.with_redacted(spark.createDataFrame([("ab🙂cdefgh",)], "t string").withColumn("s", spans), "t", "s", "r").first()
     assert row.r == "a[SECRET]de[SECRET]gh"
 
 
@@ -307,3 +308,44 @@ def test_pipeline_stages(spark, tmp_path):
 def test_queries_are_registered():
     assert {int(n[2:].split("_")[0]) for n in queries.queries()} >= {1, 2, 4, 5, 6, 7, 8, 9, 10}
     assert set(queries.oracle_sql()) <= set(queries.queries())
+
+
+# -- long rows ------------------------------------------------------------------
+def test_secrets_of_a_megabyte(spark):
+    rng = np.random.default_rng(6)
+    token = lambda n: "".join(rng.choice(list(secrets.ALPHABET), n))
+    text = " ".join(f"wörd ordinary 🙂 {token(20)} token={token(16)}" for _ in range(25_000))
+    docs = spark.createDataFrame([(1, text), (2, "x" * 1_000_000), (3, "deadbeef00112233 " * 30_000)], "doc_id long, text string")
+    start = time.time()
+    found = secrets.with_redacted(secrets.find_secrets(docs, keep=("text",)), "text", "spans", "r")
+    got = {r.doc_id: r for r in found.select("doc_id", secrets.span_text(F.col("base")).alias("b"), F.size("spans").alias("n"), "r").collect()}
+    assert time.time() - start < 90
+    # Booleans first: a failing comparison of such strings would be diffed for minutes.
+    base, clean, hexes = got[1].b == brute_spans(text), got[1].r == re.sub(r"token=\S+|[A-Za-z0-9]{16,}", "[SECRET]", text), got[3].r == "[SECRET] " * 30_000
+    assert (base, got[1].n, clean, hexes) == (True, 50_000, True, True)
+
+
+def test_chat_of_a_hundred_thousand_turns(spark):
+    n = 100_000
+    role = F.when(F.col("id") < 50_000, "user").when(F.col("id") % 3 == 0, "user").otherwise("assistant")
+    turns = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.concat(F.lit("<é> "), F.col("id").cast("string")).alias("text"))
+    start = time.time()
+    row = chat.format_chats(turns).select("formatted", chat.read_turns(F.col("formatted")).alias("t"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).first()
+    assert time.time() - start < 120
+    want = [("user" if i < 50_000 or i % 3 == 0 else "assistant", f"<é> {i}") for i in range(n)]
+    turns_back, loss_back = [(t.role, t.text) for t in row.t] == want, row.loss == "".join(t for r, t in want if r == "assistant")
+    assert (turns_back, loss_back) == (True, True)
+
+
+def test_random_strings_and_words_left_out_of_training(spark):
+    """Recall of random strings and false alarms on ordinary words that the models have not seen."""
+    rng = np.random.default_rng(12)
+    random = ["".join(rng.choice(list(secrets.ALPHABET), int(rng.integers(20, 40)))) for _ in range(600)]
+    parts = "config manager user account http request handler parser token stream buffer reader writer session cache index table query planner job queue".split()
+    words = [rng.choice(["_", "-", ""]).join(p.capitalize() if k % 2 else p for p in rng.choice(parts, 4)) for k in range(1200)]
+    seen = [(i, f"secret: {v}") for i, v in enumerate(random[:300])] + [(1000 + i, f"{w} and {w}") for i, w in enumerate(words[:600])]
+    unseen = [(5000 + i, f"see {v} now") for i, v in enumerate(random[300:])] + [(9000 + i, f"see {w} now") for i, w in enumerate(words[600:])]
+    docs = spark.createDataFrame(seen + unseen, "doc_id long, text string")
+    got = {r.doc_id: r.n for r in secrets.find_secrets(docs).select("doc_id", F.size("spans").alias("n")).collect()}
+    assert np.mean([got[5000 + i] > 0 for i in range(300)]) >= 0.99
+    assert np.mean([got[9000 + i] > 0 for i in range(600)]) <= 0.01
