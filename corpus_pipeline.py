@@ -27,10 +27,9 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with each secret in a text replaced by a mark and n_chars counted anew."""
     names = docs.columns
     rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
-    clean = secrets.find_secrets(rows, keep=("row",)).withColumn(
-        "text", F.when(F.size("spans") > 0, secrets.redact(F.col("row.text"), F.col("spans"))).otherwise(F.col("row.text")))
-    changed = F.size("spans") > 0
-    new = {"text": F.col("text"), "n_chars": F.when(changed, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))}
+    found = secrets.find_secrets(rows, keep=("row",)).withColumn("__text", F.col("row.text"))
+    clean = secrets.with_redacted(found, "__text", "spans", "__clean")
+    new = {"text": F.col("__clean"), "n_chars": F.when(F.size("spans") > 0, F.length("__clean").cast("long")).otherwise(F.col("row.n_chars"))}
     return clean.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in names])
 
 
