@@ -22,6 +22,22 @@ from pyspark.sql import functions as F
 
 #: Stands for the end-of-word suffix, so that it is one character.
 END = ""
+#: Code points that newer Unicode tables than the library's call letters or
+#: numbers; the library counts them among the other characters.
+OTHERS = (
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F), (0xA7CE, 0xA7CF),
+    (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7),
+    (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1), (0x1246F, 0x1246F), (0x12475, 0x1247F),
+    (0x12550, 0x12686), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20),
+    (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24),
+    (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED),
+    (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
+)
+#: Lower-case letters that the library knows and Python's tables do not yet.
+LOWER = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
+    **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
+}
 #: Words whose ids a worker keeps; beyond it the table starts anew.
 MAX_CACHED_WORDS = 200_000
 #: Texts are handed back in groups of about so many characters.
@@ -54,6 +70,10 @@ class WordBpe:
         self.longest = max(map(len, self.ids))
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(split)
+        spans = lambda rs: "".join(f"{chr(a)}-{chr(b)}" for a, b in rs)
+        self.rare = regex.compile(f"[{spans(OTHERS)}{spans((c, c) for c in LOWER)}]")
+        kind = {k: rf"[\p{{{k}}}--[{spans(OTHERS)}]]" for k in "LN"}
+        self.rare_pattern = regex.compile("(?V1)" + split.replace(r"[\p{L}]", kind["L"]).replace(r"[^\s\p{L}\p{N}]", rf"[^\s{kind['L']}{kind['N']}]").replace(r"[\p{N}]", kind["N"]))
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.letters = byte_letters()
         self.fits: dict[int, bool] = {}
@@ -148,8 +168,10 @@ class WordBpe:
                 out.append(part)
             elif part:
                 # White space of any kind only parts words, so it needs no replacing here.
-                part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                out.append(self.pattern.findall(part))
+                part = unicodedata.normalize("NFC", part)
+                rare = not part.isascii() and self.rare.search(part)
+                part = (part.translate(LOWER) if rare else part).replace("Σ", "σ").lower()
+                out.append((self.rare_pattern if rare else self.pattern).findall(part))
         return out
 
     def encode_texts(self, texts: list[str]) -> list[tuple[bytes, str]]:
@@ -199,7 +221,8 @@ def _groups(texts: list[str]) -> Iterator[slice]:
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids, decoded) per row: ids as little-endian unsigned 32-bit integers.
 
-    Code points that Python's Unicode tables do not assign may be split unlike in the library.
+    Every code point alone is split and lower-cased as in the library (tested); tables that
+    differ between Unicode versions are stated above.
     Null and empty texts have no ids and decode to the empty string; repeated rows get
     equal results. Whole texts are encoded; only tokens of words are kept between batches.
     """

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import arrow_rows, materialize
@@ -43,6 +43,8 @@ BATCH_TEXTS, BUCKET_SHINGLES = 1_000, 500_000
 #: Steps of the logarithm of a document frequency in its one-byte code.
 LEVELS_PER_E = 8
 HAS_WORD = r"[^\x20\x09-\x0D]"
+#: Told to the second hash of a text; hashes that different texts may share before it is an error.
+MARK, MAX_CLASHES = "second", 1_000
 
 
 def _key(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -318,6 +320,26 @@ def _block_links(some: list[dict], whole: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
+def text_hashes(text: Column) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a text, null where it has no word."""
+    has = F.coalesce(text, F.lit("")).rlike(HAS_WORD)
+    return F.when(has, F.xxhash64(text)), F.when(has, F.xxhash64(F.lit(MARK), text))
+
+
+def clashing(rows: DataFrame) -> list[int]:
+    """First hashes that texts of different second hashes share: one in 10**10 texts or so."""
+    found = rows.where("node is not null").groupBy("node").agg(F.min("__second").alias("lo"), F.max("__second").alias("hi")).where("lo <> hi")
+    found = [r.node for r in found.select("node").limit(MAX_CLASHES + 1).collect()]
+    if len(found) > MAX_CLASHES:
+        raise RuntimeError(f"over {MAX_CLASHES} pairs of texts share a hash")
+    return found
+
+
+def apart(first: Column, second: Column, clashes: list[int]) -> Column:
+    """The node of a text: its first hash, or one of both where that is shared, so nodes go by 128 bits."""
+    return F.when(first.isin(clashes), F.xxhash64(first, second)).otherwise(first) if clashes else first
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, node, class_id, kept, copies) for every row of ``docs``.
 
@@ -327,10 +349,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     equal smallest ids, a caller keeps one. Null texts and texts without a word are each a
     class of their own. Null ids come last in the order of a class. An empty table gives no rows.
     """
+    return _near_duplicates(docs, id_col, text_col)[0]
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[int]]:
     text = F.col(text_col)
-    node = F.when(F.coalesce(text, F.lit("")).rlike(HAS_WORD), F.xxhash64(text))
-    named = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), node.alias("node"))
-    rows = materialize(named.select("doc_id", "node", F.octet_length("text").alias("bytes")), "minhash-rows")
+    first, second = text_hashes(text)
+    seen = materialize(docs.select(F.col(id_col).alias("doc_id"), first.alias("node"), second.alias("__second"), F.octet_length(text).alias("bytes")), "minhash-rows")
+    clashes = clashing(seen)
+    rows = seen.select("doc_id", apart(F.col("node"), F.col("__second"), clashes).alias("node"), "bytes")
+    named = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), apart(first, second, clashes).alias("node"))
     n, size = rows.where("node is not null").agg(F.count("*"), F.sum("bytes")).first()
     n, size = n or 0, size or 0
     batches = max(1, math.ceil(n / BATCH_TEXTS))
@@ -339,7 +367,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with arrow_rows(docs.sparkSession, BATCH_ROWS):
         signed = materialize(_signed(texts, _shared(_postings(texts, buckets)), buckets, n), "minhash-signed")
 
-    return _classes(rows, _linked(signed))
+    return _classes(rows, _linked(signed)), clashes
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -349,8 +377,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     names = docs.columns
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    whole = whole.withColumn("__node", F.when(F.coalesce("__text", F.lit("")).rlike(HAS_WORD), F.xxhash64("__text")))
-    keepers = near_duplicates(docs, id_col, text_col).where("kept and node is not null").groupBy("doc_id", "node").agg(F.max("copies").alias("copies"))
+    first, second = text_hashes(F.col("__text"))
+    found, clashes = _near_duplicates(docs, id_col, text_col)
+    whole = whole.withColumn("__node", apart(first, second, clashes))
+    keepers = found.where("kept and node is not null").groupBy("doc_id", "node").agg(F.max("copies").alias("copies"))
     keepers = materialize(keepers, "minhash-keepers")
 
     def rows_of(which: DataFrame) -> DataFrame:

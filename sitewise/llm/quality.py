@@ -182,12 +182,13 @@ def fit_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """Rules learned from at most ``max_labelled`` labelled rows, those of the smallest hashes.
 
     Rows that fail the base rules are left out, as are labels that are null or given twice
-    with different values. The sample's size bounds what is broadcast and sent to the driver.
+    with different values. Of rows with one id the least text is used. The sample's size bounds what is broadcast and sent to the driver.
     """
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("id is not null and label is not null")
     marks = marks.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most")
     chosen = marks.orderBy(F.md5(F.col("id").cast("string")), "id").limit(max_labelled).select("id", "label")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("label", "text")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    rows = rows.groupBy("id", "label").agg(F.min("text").alias("text")).select("label", "text")  # an id given many times is one row
     named = features()
     sample = with_stats(rows).where(~base_failed()).select("row.label", *[c.alias(n) for n, c in named.items()]).toPandas()
     if not len(sample):

@@ -50,13 +50,14 @@ def features_of(words: set[str]) -> set[str]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, usable: Column | None, limit: int) -> DataFrame:
-    """(text, label) of at most ``limit`` labelled rows, those of the smallest hashes."""
+    """(text, label) of at most ``limit`` labelled rows, those of the smallest hashes; of rows with one id the least text."""
     marks = labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("label")).where("__id is not null and label is not null")
     if usable is not None:
         marks = marks.where(usable)
     marks = marks.groupBy("__id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most")
     chosen = marks.orderBy(F.md5(F.col("__id").cast("string")), "__id").limit(limit).select("__id", "label")
-    return docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__id").select("text", "label")
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__id")
+    return rows.groupBy("__id", "label").agg(F.min("text").alias("text")).select("text", "label")  # an id given many times is one row
 
 
 def choose_features(sample: DataFrame, limit: int = MAX_FEATURES) -> list[str]:
@@ -89,11 +90,13 @@ def choose_features(sample: DataFrame, limit: int = MAX_FEATURES) -> list[str]:
 
 def fit(x: np.ndarray, swaps: np.ndarray, y: np.ndarray, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Weights and bias by Nesterov steps on logistic loss + ridge + mean squared swap change."""
-    rate = 4.0 / (float((x * x).sum(1).mean()) + 1.0)
     p = np.clip(y.mean() if len(y) else 0.1, 1e-3, 1 - 1e-3)
     bias, w = float(np.log(p / (1 - p))), np.zeros(x.shape[1], np.float32)
+    if not len(y):
+        return w, bias
+    rate = 4.0 / (float((x * x).sum(1).mean()) + 1.0)
     look, ahead = w.copy(), bias
-    for k in range(steps if len(y) else 0):
+    for k in range(steps):
         off = (1 / (1 + np.exp(-(x @ look + ahead))) - y).astype(np.float32)
         grad = x.T @ off / len(y) + RIDGE * look
         if len(swaps):
@@ -158,7 +161,11 @@ def held_out(id_col: Column) -> Column:
 
 
 def judge_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row of ``docs``; repeated rows score alike."""
+    """(doc_id, held_out, score, predicted) for every row of ``docs``; repeated rows score alike.
+
+    Null and empty texts score the bias alone, and so does every text without labels (a share
+    of 0.1 is then assumed). A null id is not held out. An empty table gives no rows.
+    """
     weights = train(docs, labels, id_col, text_col, label_col, ~held_out(F.col("__id")))
     return score(docs, weights, id_col, text_col).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

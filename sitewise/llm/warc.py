@@ -75,7 +75,8 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """(header, payload, record) of every record: its exact header, full payload and exact bytes.
 
-    A payload that does not match its address or its header's digest raises an error.
+    A payload that does not match its address (SHA-256) or its header's digest (SHA-1) raises
+    an error.
     """
     records = spark.read.schema("digest string, header binary").parquet(f"{path}/records")
     payloads = spark.read.schema("digest string, payload binary").parquet(f"{path}/payloads")
@@ -83,7 +84,10 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         F.raise_error(F.concat(F.lit("payload does not match its address "), F.col("digest")))))
     end = F.encode(F.lit(CRLF + CRLF), "UTF-8")
     block = F.when(header_field("WARC-Type") == "revisit", F.encode(F.lit(""), "UTF-8")).otherwise(F.col("payload"))
-    return records.join(checked, "digest").select("header", "payload", F.concat("header", block, end).alias("record"))
+    named = F.concat(F.lit("sha1:"), F.sha1("payload"))
+    same = records.join(checked, "digest").withColumn("payload", F.when(header_field("WARC-Payload-Digest") == named, F.col("payload")).otherwise(
+        F.raise_error(F.concat(F.lit("payload does not match its header's digest, "), named))))
+    return same.select("header", "payload", F.concat("header", block, end).alias("record"))
 
 
 def header_field(name: str) -> Column:

@@ -130,3 +130,15 @@ def test_components(spark):
             root[max(x, y)] = min(x, y)
     assert got == {i: find(i) for i in root}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_that_share_a_hash_stay_apart(spark, monkeypatch):
+    """First hashes forced to be equal: nodes then come from both hashes."""
+    from pyspark.sql import functions as F
+
+    plain = minhash.text_hashes
+    monkeypatch.setattr(minhash, "text_hashes", lambda t: (F.when(plain(t)[0].isNotNull(), F.lit(7).cast("long")), plain(t)[1]))
+    rows = [(1, BASE), (2, BASE), (3, "quite another text of seven words"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert sorted(r.doc_id for r in minhash.keep_one(docs).collect()) == [1, 3, 4]
