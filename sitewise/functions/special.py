@@ -75,6 +75,13 @@ def lbeta(a: str, b: str) -> str:
     return f"({lgamma(a)} + {lgamma(b)} - {lgamma(f'({a}) + ({b})')})"
 
 
+def chi2_sf_even(x: str, k: str) -> str:
+    """Upper tail of chi-square with 2 * k degrees, k whole: a Poisson sum of k terms, in Spark SQL."""
+    h = f"(({x}) / 2E0)"
+    log_term = f"i * ln({h}) - {h} - {lgamma('(i + 1E0)')}"
+    return f"(CASE WHEN ({x}) <= 0 THEN 1E0 ELSE least(1E0, aggregate(transform(sequence(0, CAST(({k}) AS INT) - 1), i -> exp({log_term})), 0E0, (s, t) -> s + t)) END)"
+
+
 def kolmogorov_sf(x: str, terms: int = 40) -> str:
     """Tail of the Kolmogorov distribution by its alternating series; 1 below 0.2."""
     total = " + ".join(f"{'-' if k % 2 == 0 else ''}exp(-2E0 * {k * k} * ({x}) * ({x}))" for k in range(1, terms + 1)).replace("+ -", "- ")

@@ -44,13 +44,22 @@ def stouffer(df: DataFrame, by: list[str], p: str = "p_value", weight: str = "w"
 
 
 def combine_p(df: DataFrame, by: list[str], p: str = "p_value") -> DataFrame:
-    """Fisher (even degrees in closed form needs few terms, so its statistic), Tippett, Simes and mean-z Stouffer."""
+    """Combined p-values of each group: Fisher, Lancaster with even degrees, Tippett, Simes, mean-z Stouffer, Edgington and Mudholkar-George.
+
+    Lancaster with one degree weight for all has Fisher's statistic and degrees. Edgington is
+    the beta approximation below 20 values and the normal one from there.
+    """
     from pyspark.sql import Window
 
     clean = df.withColumn("__p", F.greatest(F.least(F.col(p), F.lit(1 - 1e-15)), F.lit(1e-300)))
     w = Window.partitionBy(*by).orderBy("__p")
     rows = clean.withColumn("__i", F.row_number().over(w)).withColumn("__k", F.count("*").over(Window.partitionBy(*by))).withColumn("__z", -F.expr(special.norm_ppf("__p")))
+    rows = rows.withColumn("__q", 1 - F.pow("__p", 1 / F.col("__k"))).withColumn("__mg", F.expr(special.norm_ppf("greatest(least(__q, 1E0 - 1E-15), 1E-300)")))
     g = rows.groupBy(*by).agg(
         F.count("*").alias("k"), (-2 * F.sum(F.log("__p"))).alias("fisher_stat"), F.min("__p").alias("p_min"),
-        F.least(F.min(F.col("__k") * F.col("__p") / F.col("__i")), F.lit(1.0)).alias("simes"), F.avg("__z").alias("mean_z"))
-    return g.select(*by, "k", "fisher_stat", (1 - F.pow(1 - F.col("p_min"), F.col("k"))).alias("tippett"), "simes", F.expr(special.norm_sf("mean_z")).alias("stouffer"))
+        F.least(F.min(F.col("__k") * F.col("__p") / F.col("__i")), F.lit(1.0)).alias("simes"), F.avg("__z").alias("mean_z"), F.sum("__p").alias("sum_p"), F.sum("__mg").alias("sum_mg"))
+    few = 1 - F.pow(F.least("sum_p", F.lit(1.0)), F.col("k"))
+    edgington = F.when(F.col("k") < 20, few).otherwise(F.expr(special.norm_sf("((sum_p - k / 2E0) / sqrt(k / 12E0))")))
+    fisher = F.expr(special.chi2_sf_even("fisher_stat", "k"))
+    g = g.withColumns({"fisher": fisher, "lancaster": fisher, "edgington": edgington, "mudholkar_george": F.expr(special.norm_sf("(sum_mg / sqrt(k))"))})
+    return g.select(*by, "k", "fisher_stat", (1 - F.pow(1 - F.col("p_min"), F.col("k"))).alias("tippett"), "simes", F.expr(special.norm_sf("mean_z")).alias("stouffer"), "fisher", "lancaster", "edgington", "mudholkar_george")

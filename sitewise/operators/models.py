@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shared import materialize
-from .running import add_up, deal
+from .running import add_up, deal, quantiles
 
 
 def softmax(values: Column) -> Column:
@@ -57,6 +57,47 @@ def assign_medoids(distances: DataFrame, medoids: list[str]) -> DataFrame:
     return both.where(F.col("m").isin(medoids)).unionByName(own).groupBy("s").agg(F.min(F.struct("distance", "m")).alias("x")).select(F.col("s").alias("sample_id"), F.col("x.m").alias("medoid"), F.col("x.distance").alias("distance"))
 
 
+def farthest_seeds(distances: DataFrame, k: int) -> list[str]:
+    """k samples: the smallest name, then each time the one farthest from the chosen, the smaller name on ties. One row a step reaches the driver."""
+    both = materialize(distances.select(F.col("a").alias("s"), F.col("b").alias("m"), "distance").unionByName(distances.select(F.col("b").alias("s"), F.col("a").alias("m"), "distance")), "pairs")
+    first = both.agg(F.min("s").alias("s")).first()
+    seeds = [first.s] if first.s is not None else []
+    while seeds and len(seeds) < k:
+        near = both.where(F.col("m").isin(seeds) & ~F.col("s").isin(seeds)).groupBy("s").agg(F.min("distance").alias("d"))
+        row = near.orderBy(F.desc(F.round("d", 12)), "s").first()
+        if row is None:
+            break
+        seeds.append(row.s)
+    return seeds
+
+
+def k_medoids(distances: DataFrame, k: int, rounds: int = 10) -> DataFrame:
+    """(sample_id, medoid, distance): farthest seeds, then assignment and the member of least total distance in turn until medoids stay.
+
+    Each round is a join and two grouped sums; the k medoids reach the driver.
+    """
+    distances = materialize(distances, "distances")
+    both = distances.select(F.col("a").alias("s"), F.col("b").alias("o"), "distance").unionByName(distances.select(F.col("b").alias("s"), F.col("a").alias("o"), "distance"))
+    medoids = farthest_seeds(distances, k)
+    for _ in range(rounds):
+        of = materialize(assign_medoids(distances, medoids), "medoids")
+        inside = both.join(of.select(F.col("sample_id").alias("s"), F.col("medoid").alias("c")), "s").join(of.select(F.col("sample_id").alias("o"), F.col("medoid").alias("co")), "o").where("c = co")
+        cost = inside.groupBy("c", "s").agg(F.round(F.sum("distance"), 12).alias("t"))
+        moved = {r.c: r.s for r in cost.groupBy("c").agg(F.min_by("s", F.struct("t", "s")).alias("s")).collect()}
+        new = sorted(moved.get(m, m) for m in medoids)
+        if new == sorted(medoids):
+            break
+        medoids = new
+    return assign_medoids(distances, medoids)
+
+
+def distance_statistics(distances: DataFrame) -> DataFrame:
+    """Number, mean, deviation, ends and quartiles of all pair distances."""
+    q = quantiles(distances, "distance", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    g = distances.agg(F.count("*").alias("n"), F.avg("distance").alias("mean"), F.stddev_samp("distance").alias("sd"), F.min("distance").alias("min"), F.max("distance").alias("max"))
+    return g.crossJoin(F.broadcast(q))  # one row
+
+
 def silhouette(distances: DataFrame, labels: DataFrame) -> DataFrame:
     """Silhouette of each sample from pair distances."""
     both = distances.select(F.col("a").alias("s"), F.col("b").alias("o"), "distance").unionByName(distances.select(F.col("b").alias("s"), F.col("a").alias("o"), "distance"))

@@ -52,6 +52,16 @@ def _(t):
     return M.assign_medoids(distances(t), ["1", "2", "3"])
 
 
+@register("pair_distance_statistics", _D + " SELECT count(*) AS n, avg(distance) AS mean, stddev_samp(distance) AS sd, min(distance) AS min, max(distance) AS max, quantile_cont(distance, 0.25) AS q25, quantile_cont(distance, 0.5) AS q50, quantile_cont(distance, 0.75) AS q75 FROM d", "mean sd min max q25 q50 q75")
+def _(t):
+    return M.distance_statistics(distances(t))
+
+
+@register("medoid_clusters", rounds="distance")
+def _(t):
+    return M.k_medoids(distances(t), 3)
+
+
 @register("pair_silhouette", _D + _BOTH + """, m AS (SELECT s, CAST(s AS BIGINT) % 2 AS ls, CAST(o AS BIGINT) % 2 AS lo, avg(distance) AS d FROM e GROUP BY 1, 2, 3), g AS (SELECT s, min(d) FILTER (ls = lo) AS i, min(d) FILTER (ls <> lo) AS o FROM m GROUP BY 1)
 SELECT s AS sample_id, CASE WHEN i IS NULL OR o IS NULL THEN 0 ELSE (o - i) / greatest(i, o) END AS silhouette FROM g""", "silhouette")
 def _(t):

@@ -82,3 +82,19 @@ def gene_counts(abundance: DataFrame, tx2gene: DataFrame) -> DataFrame:
     short = tx2gene.select(bare(F.col("tx")).alias("bare"), F.col("gene").alias("g2")).dropDuplicates(["bare"])
     j = abundance.join(full, "tx", "left").withColumn("bare", bare(F.col("tx"))).join(short, "bare", "left")
     return j.groupBy("sample_id", F.coalesce("g1", "g2").alias("gene")).agg(F.sum("count").alias("count")).where("gene is not null")
+
+
+def read_protein_report(spark: SparkSession, path: str) -> DataFrame:
+    """(run, protein, intensity): largest intensity of each protein group and run in a tab-separated report."""
+    df = spark.read.csv(path, header=True, sep="\t")
+    rows = df.select(first_of(df, ["Run", "File.Name"], "string").alias("run"), first_of(df, ["Protein.Group", "Protein.Ids", "Protein.Names"], "string").alias("protein"),
+                     first_of(df, ["PG.MaxLFQ", "PG.Quantity", "Precursor.Quantity"], "double").alias("q")).where("protein is not null and q is not null")
+    return rows.groupBy("run", "protein").agg(F.max("q").alias("intensity"))
+
+
+def read_flagstat(spark: SparkSession, path: str) -> DataFrame:
+    """(sample_id, total, mapped, mapped_rate) from flagstat texts in a folder per sample; a sample's lines may be in several files."""
+    rows = spark.read.schema("value string, sample_id string").text(path)
+    n = F.regexp_extract("value", r"^(\d+) \+", 1).try_cast("long")
+    g = rows.groupBy("sample_id").agg(F.sum(F.when(F.col("value").contains(" in total "), n)).alias("total"), F.sum(F.when(F.col("value").rlike(r"^\d+ \+ \d+ mapped \("), n)).alias("mapped"))
+    return g.withColumn("mapped_rate", F.when(F.col("total") > 0, F.col("mapped") / F.col("total")))
