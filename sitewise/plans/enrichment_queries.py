@@ -14,22 +14,30 @@ def _(t):
     return G.merge_terms(t.gene_sets)
 
 
-@register("enrich_ora", """WITH q AS (SELECT DISTINCT gene FROM gene_sets WHERE term = 'Brand#1' OR gene LIKE '1-%'), m AS (SELECT DISTINCT library, term, gene FROM gene_sets), nn AS (SELECT count(DISTINCT gene) AS nall FROM m), nq AS (SELECT count(*) AS nq FROM q WHERE gene IN (SELECT gene FROM m)),
+ORA = """WITH q AS (SELECT DISTINCT gene FROM gene_sets WHERE term = 'Brand#1' OR gene LIKE '1-%'), m AS (SELECT DISTINCT library, term, gene FROM gene_sets), nn AS (SELECT count(DISTINCT gene) AS nall FROM m), nq AS (SELECT count(*) AS nq FROM q WHERE gene IN (SELECT gene FROM m)),
 g AS (SELECT library, term, count(*) AS kk, count(q.gene) AS k FROM m LEFT JOIN q USING (gene) GROUP BY 1, 2), e AS (SELECT *, unnest(generate_series(k, least(kk, nq))) AS i FROM g, nn, nq),
 p AS (SELECT library, term, kk, k, nall, nq, least(sum(CASE WHEN nq - i <= nall - kk THEN exp(lgamma(kk + 1) - lgamma(i + 1) - lgamma(kk - i + 1) + lgamma(nall - kk + 1) - lgamma(nq - i + 1) - lgamma(nall - kk - nq + i + 1) - lgamma(nall + 1) + lgamma(nq + 1) + lgamma(nall - nq + 1)) ELSE 0 END), 1) AS p_value FROM e GROUP BY ALL),
 r AS (SELECT *, round(p_value, 9) AS pr FROM p), o AS (SELECT *, row_number() OVER (PARTITION BY library ORDER BY p_value) AS rk, count(*) OVER (PARTITION BY library) AS mm FROM r)
-SELECT library, term, kk AS term_size, k AS n_hit, p_value, (k + 0.5e0) * (nall - kk - nq + k + 0.5e0) / ((kk - k + 0.5e0) * (nq - k + 0.5e0)) AS odds_ratio, least(min(p_value * mm / rk) OVER (PARTITION BY library ORDER BY p_value DESC, rk DESC ROWS UNBOUNDED PRECEDING), 1) AS q_value FROM o""", "p_value odds_ratio q_value")
-def _(t):
+SELECT library, term, kk AS term_size, k AS n_hit, p_value, (k + 0.5e0) * (nall - kk - nq + k + 0.5e0) / ((kk - k + 0.5e0) * (nq - k + 0.5e0)) AS odds_ratio, least(min(p_value * mm / rk) OVER (PARTITION BY library ORDER BY p_value DESC, rk DESC ROWS UNBOUNDED PRECEDING), 1) AS q_value FROM o"""
+
+
+def ora(t):
     genes = t.gene_sets.where("term = 'Brand#1' or gene like '1-%'").select("gene").distinct()
     return G.over_representation(t.gene_sets, genes, ["library", "term"]).select("library", "term", "term_size", "n_hit", "p_value", "odds_ratio", "q_value")
 
 
-_W = "w AS (SELECT entity AS gene, avg(score) AS w FROM stages GROUP BY 1)"
+@register("enrich_ora", ORA, "p_value odds_ratio q_value")
+def _(t):
+    return ora(t)
+
+
+# Weights are in millions: six digits of larger sums lie on the edges of their cents.
+_W = "w AS (SELECT entity AS gene, avg(score) / 1e6 AS w FROM stages GROUP BY 1)"
 
 
 @register("enrich_overlap_weights", f"WITH {_W} SELECT library, term, count(*) AS n, avg(w) AS mean_w, avg(abs(w)) AS mean_abs_w, sum(w) AS sum_w FROM gene_sets JOIN w USING (gene) GROUP BY 1, 2", "mean_w mean_abs_w sum_w")
 def _(t):
-    return G.term_overlap_weights(t.gene_sets, t.stages.groupBy(F.col("entity").alias("gene")).agg(F.avg("score").alias("w")))
+    return G.term_overlap_weights(t.gene_sets, t.stages.groupBy(F.col("entity").alias("gene")).agg((F.avg("score") / 1e6).alias("w")))
 
 
 _SIM = "s AS (SELECT DISTINCT term, gene FROM gene_sets), n AS (SELECT term, count(*) AS n FROM s GROUP BY 1), k AS (SELECT a.term AS src, b.term AS dst, count(*) AS k FROM s a JOIN s b ON a.gene = b.gene AND a.term < b.term GROUP BY 1, 2)"
