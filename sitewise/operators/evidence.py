@@ -36,7 +36,7 @@ def thin_coverage(counts: DataFrame, cap: int, seed: int = 0) -> DataFrame:
         return F.when((F.col("__share") < 1) & (F.col(column) > 0), some.cast("long")).otherwise(F.col(column))
 
     # The share stands in a column of its own: inside a lambda a new mC would hide the old one.
-    rows = counts.withColumn("__share", F.lit(cap) / coverage())
+    rows = counts.withColumn("__share", F.lit(cap) / F.greatest(coverage(), F.lit(1)))
     return rows.withColumns({"__m": kept("mC"), "__u": kept("uC")}).withColumns({"mC": F.col("__m"), "uC": F.col("__u")}).drop("__share", "__m", "__u")
 
 

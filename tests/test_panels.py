@@ -56,12 +56,12 @@ def test_fusion_without_evidence_is_even(spark):
 
 
 def test_thinned_coverage_is_binomial(spark):
-    rows = [("s", "1", "CG", p, 60, 40) for p in range(2000)] + [("t", "1", "CG", 0, 3, 4), ("t", "1", "CG", 1, 0, 90), ("t", "1", "CG", 2, None, 90)]
+    rows = [("s", "1", "CG", p, 60, 40) for p in range(2000)] + [("t", "1", "CG", 0, 3, 4), ("t", "1", "CG", 1, 0, 90), ("t", "1", "CG", 2, None, 90), ("t", "1", "CG", 3, 0, 0)]
     counts = spark.createDataFrame(rows, "sample_id string, chrom string, context string, pos long, mC long, uC long")
     got = evidence.thin_coverage(counts, 20, 3)
     at = {(r.sample_id, r.pos): (r.mC, r.uC) for r in got.collect()}
     assert at == {(r.sample_id, r.pos): (r.mC, r.uC) for r in evidence.thin_coverage(counts.repartition(5), 20, 3).collect()}
-    assert at["t", 0] == (3, 4) and at["t", 1][0] == 0 and at["t", 1][1] < 90 and at["t", 2] == (None, 90)
+    assert at["t", 0] == (3, 4) and at["t", 1][0] == 0 and at["t", 1][1] < 90 and at["t", 2] == (None, 90) and at["t", 3] == (0, 0)
     m, u = np.array([at["s", p] for p in range(2000)], float).T
     # Binomial(60, 0.2) and Binomial(40, 0.2): means 12 and 8, variances 9.6 and 6.4; four standard errors.
     assert abs(m.mean() - 12) < 4 * (9.6 / 2000) ** 0.5 and abs(u.mean() - 8) < 4 * (6.4 / 2000) ** 0.5
