@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import new_path
-from . import bpe, chat, minhash, mixing, quality, secrets, toxicity, training_order, vectors, warc
+from . import bpe, chat, fingerprints, lexical, minhash, mixing, quality, runs, secrets, toxicity, training_order, vectors, warc
 
 #: The public tokenizer of op4 and the pipeline.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -172,6 +172,50 @@ FROM sized s JOIN limits l ON l.source IS NOT DISTINCT FROM s.source
 """
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, tails planted by the id's checksum, and digests of the collapsed text."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", runs.repeat_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    found = runs.find_runs(docs)
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "longest.start", "longest.length", "longest.period",
+        F.floor(F.lit(1000) * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited form, with their likeness and that to the next document."""
+    return fingerprints.compare_with_next(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+size AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM size),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w
+           FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), whole),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT) AS score
+  FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN size USING (doc_id), whole GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dup": op1_minhash_near_dup,
@@ -184,8 +228,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_near_dup": op8_embedding_near_dup,
         "op9_toxicity": op9_toxicity,
         "op10_source_mix": op10_source_mix,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_fingerprints": op12_fingerprints,
+        "op13_lexical_search": op13_lexical_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": OP5_SQL, "op7_warc": OP7_SQL, "op10_source_mix": OP10_SQL}
+    return {"op5_chat_format": OP5_SQL, "op7_warc": OP7_SQL, "op10_source_mix": OP10_SQL, "op13_lexical_search": OP13_SQL}
