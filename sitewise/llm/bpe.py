@@ -9,6 +9,7 @@ pair are merged exactly.
 
 from __future__ import annotations
 
+import heapq
 import json
 import struct
 import unicodedata
@@ -38,14 +39,16 @@ LOWER = {
     0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
     **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
 }
-#: Words whose ids a worker keeps; beyond it the table starts anew.
-MAX_CACHED_WORDS = 200_000
+#: Words whose ids a worker keeps, and their characters; beyond either the table starts anew.
+MAX_CACHED_WORDS, MAX_CACHED_CHARS = 200_000, 20_000_000
+#: Symbols from which a word is merged by a heap.
+LONG_WORD = 64
 #: Texts are handed back in groups of about so many characters.
 GROUP_CHARS = 1_000_000
 
 
 def byte_letters() -> list[str]:
-    """The printable letter of each byte: itself where printable, else the next from U+0100."""
+    """The printable letter of each byte: itself where printable, else the next from U+0100. Fixed values of byte-level vocabularies."""
     own = {*range(33, 127), *range(161, 173), *range(174, 256)}
     spare = iter(range(256, 512))
     return [chr(b) if b in own else chr(next(spare)) for b in range(256)]
@@ -79,6 +82,7 @@ class WordBpe:
         self.fits: dict[int, bool] = {}
         self.word_ids: dict[str, bytes] = {}
         self.word_text: dict[str, str] = {}
+        self.cached_chars = 0
 
     # -- one word ---------------------------------------------------------------
     def symbols(self, text: str) -> list[str]:
@@ -87,6 +91,8 @@ class WordBpe:
 
     def merge(self, symbols: list[str]) -> list[int]:
         """Exact merging: the pair of lowest rank first, leftmost on ties."""
+        if len(symbols) >= LONG_WORD:
+            return self.merge_long(symbols)
         none, rank = 1 << 60, self.rank.get
         ranks = [rank(p, none) for p in zip(symbols, symbols[1:])]
         while ranks and (best := min(ranks)) < none:
@@ -99,6 +105,28 @@ class WordBpe:
                 ranks[i] = rank((symbols[i], symbols[i + 1]), none)
         return [self.ids[s] for s in symbols]
 
+    def merge_long(self, symbols: list[str]) -> list[int]:
+        """The same with a heap of pairs over linked symbols: n log n in the word's length."""
+        rank, n = self.rank.get, len(symbols)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i, p in enumerate(zip(symbols, symbols[1:])) if (r := rank(p)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            j = after[i]
+            # An entry is out of date if its first symbol is gone or the pair there has another rank.
+            if not symbols[i] or j >= n or rank((symbols[i], symbols[j])) != r:
+                continue
+            symbols[i], symbols[j] = symbols[i] + symbols[j], ""
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (new := rank((symbols[i], symbols[k]))) is not None:
+                    heapq.heappush(heap, (new, i))
+            if (h := before[i]) >= 0 and (new := rank((symbols[h], symbols[i]))) is not None:
+                heapq.heappush(heap, (new, h))
+        return [self.ids[s] for s in symbols if s]
+
     def propose(self, text: str) -> list[int]:
         """Greedy longest match; the end mark never stands alone."""
         out, i, n, ids = [], 0, len(text), self.ids
@@ -149,11 +177,13 @@ class WordBpe:
     def learn(self, words: set[str]) -> None:
         """Add words to the tables of ids bytes and decoded bytes."""
         new = list(words.difference(self.word_ids))
-        if len(self.word_ids) + len(new) > MAX_CACHED_WORDS:
+        if len(self.word_ids) + len(new) > MAX_CACHED_WORDS or self.cached_chars > MAX_CACHED_CHARS:
             self.word_ids.clear()
             self.word_text.clear()
             self.fits.clear()
+            self.cached_chars = 0
             new = list(words)
+        self.cached_chars += sum(map(len, new))
         letters, names = self.letters, self.names
         coded = ["".join([letters[b] for b in w.encode("utf-8", "replace")]) + END for w in new]
         for w, ids in zip(new, self.encode_words(coded)):

@@ -95,6 +95,19 @@ def test_every_code_point_as_in_the_library():
     assert not differ
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "a", "漢字語文中", "ABCDEFabcdef0123456789+/"])
+def test_long_words_equal_the_library(letters):
+    lib, model = Tokenizer.from_file(PATH), bpe.load(PATH)
+    rng = np.random.default_rng(11)
+    for n in (bpe.LONG_WORD - 1, bpe.LONG_WORD, 300, 300_000 // len(letters.encode()) * len(letters)):
+        word = "".join(np.array(list(letters))[rng.integers(0, len(letters), n)])
+        want = lib.encode(word, add_special_tokens=False).ids
+        start = time.time()
+        (ids, text), = model.encode_texts([word])
+        assert np.frombuffer(ids, "<u4").tolist() == want and text == lib.decode(want, skip_special_tokens=False)
+        assert time.time() - start < 30  # a scan for each merge would take an hour
+
+
 def test_bpe_odd_rows(spark):
     rows = bpe.encode(odd_docs(spark), PATH).collect()
     assert len(rows) == 12 and sum(not r.ids for r in rows) == 4
