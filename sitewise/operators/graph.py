@@ -117,8 +117,8 @@ def module_coherence(modules: DataFrame, edges: DataFrame, scores: DataFrame) ->
     inside = edges.where("src <> dst").join(a, "src").join(b, ["module", "dst"])
     n = modules.groupBy("module").agg(F.count("*").alias("n"))
     e = inside.groupBy("module").agg(F.count("*").alias("e"))
-    tagged = inside.select(F.concat_ws("|", "module", "src").alias("src"), F.concat_ws("|", "module", "dst").alias("dst"))
-    largest = components(tagged).groupBy(F.substring_index("node", "|", 1).alias("module"), "component").agg(F.count("*").alias("s")).groupBy("module").agg(F.max("s").alias("largest"))
+    at = lambda c: F.struct("module", F.col(c).alias("node")).alias(c)
+    largest = components(inside.select(at("src"), at("dst"))).groupBy(F.col("node.module").alias("module"), "component").agg(F.count("*").alias("s")).groupBy("module").agg(F.max("s").alias("largest"))
     hub = modules.join(scores, "node", "left").groupBy("module").agg(F.avg(F.coalesce("hub_score", F.lit(0.0))).alias("hub"))
     j = n.join(e, "module", "left").join(hub, "module").join(largest, "module", "left")
     density = F.when(F.col("n") > 1, 2 * F.coalesce("e", F.lit(0)) / (F.col("n") * (F.col("n") - 1))).otherwise(F.lit(0.0))

@@ -71,10 +71,11 @@ def farthest_seeds(distances: DataFrame, k: int) -> list[str]:
     return seeds
 
 
-def k_medoids(distances: DataFrame, k: int, rounds: int = 10) -> DataFrame:
+def k_medoids(distances: DataFrame, k: int, rounds: int = 50) -> DataFrame:
     """(sample_id, medoid, distance): farthest seeds, then assignment and the member of least total distance in turn until medoids stay.
 
-    Each round is a join and two grouped sums; the k medoids reach the driver.
+    Each round is a join and two grouped sums; the k medoids reach the driver. Medoids that still
+    move after ``rounds`` rounds raise.
     """
     distances = materialize(distances, "distances")
     both = distances.select(F.col("a").alias("s"), F.col("b").alias("o"), "distance").unionByName(distances.select(F.col("b").alias("s"), F.col("a").alias("o"), "distance"))
@@ -88,6 +89,8 @@ def k_medoids(distances: DataFrame, k: int, rounds: int = 10) -> DataFrame:
         if new == sorted(medoids):
             break
         medoids = new
+    else:
+        raise RuntimeError(f"medoids still move after {rounds} rounds")
     return assign_medoids(distances, medoids)
 
 

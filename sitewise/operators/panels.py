@@ -102,9 +102,10 @@ def choose_lambda(rows: DataFrame, lambdas: list[float], target: str) -> DataFra
 def fit_covariates(values: DataFrame, covariates: DataFrame, columns: list[str], by: list[str] | None = None, y: str = "m") -> DataFrame:
     """(by, n, intercept, one slope per column): least squares on several covariates for each site, complete cases only.
 
-    The normal equations are sums of one aggregate; each site's small system is solved inside
-    a task. Covariates are centred by their means first. A system without full rank gives the
-    solution of least length.
+    The sums are one aggregate; each site's small system is solved inside a task. Covariates are
+    centred by their means first. A site without full rank has nulls: one where a covariate's
+    variance is at most 1e-12, or the determinant of the covariates' correlations at most 1e-8,
+    as with no more samples than covariates.
     """
     by, p = by or KEY, len(columns)
     known = covariates.select("sample_id", *columns).na.drop()
@@ -122,15 +123,25 @@ def fit_covariates(values: DataFrame, covariates: DataFrame, columns: list[str],
             if not len(b):
                 continue
             matrix, right = s[:, :k * k].reshape(-1, k, k), s[:, k * k:]
-            beta = np.einsum("nij,nj->ni", np.linalg.pinv(matrix, hermitian=True), right)
+            n = matrix[:, 0, 0]
+            mean, my = matrix[:, 0, 1:] / n[:, None], right[:, 0] / n
+            cov = matrix[:, 1:, 1:] / n[:, None, None] - mean[:, :, None] * mean[:, None, :]
+            with_y = right[:, 1:] / n[:, None] - mean * my[:, None]
+            var = np.einsum("nii->ni", cov)
+            full = (var > 1e-12).all(1)
+            sd = np.sqrt(np.where(full[:, None], var, 1.0))
+            full &= np.linalg.det(cov / (sd[:, :, None] * sd[:, None, :])) > 1e-8
+            slopes = np.full((len(b), p), np.nan)
+            slopes[full] = np.linalg.solve(cov[full], with_y[full][:, :, None])[..., 0]
             out = b.drop(columns=["__s", "__m"])
-            out["intercept"] = beta[:, 0] - (beta[:, 1:] * np.array(b["__m"].tolist(), float).reshape(len(b), p)).sum(1)
+            out["intercept"] = my - (slopes * (mean + np.array(b["__m"].tolist(), float).reshape(len(b), p))).sum(1)
             for i, c in enumerate(columns):
-                out[f"slope_{c}"] = beta[:, 1 + i]
+                out[f"slope_{c}"] = slopes[:, i]
             yield out
 
     kinds = ", ".join(f"{c} {g.schema[c].dataType.simpleString()}" for c in [*by, "n"])
-    return g.mapInPandas(solve, f"{kinds}, intercept double, {', '.join(f'slope_{c} double' for c in columns)}")
+    solved = g.mapInPandas(solve, f"{kinds}, intercept double, {', '.join(f'slope_{c} double' for c in columns)}")
+    return solved.withColumns({c: F.when(F.isnan(c), F.lit(None)).otherwise(F.col(c)) for c in ["intercept", *[f"slope_{c}" for c in columns]]})
 
 
 def residualize_on(values: DataFrame, covariates: DataFrame, coefficients: DataFrame, columns: list[str], by: list[str] | None = None, y: str = "m") -> DataFrame:

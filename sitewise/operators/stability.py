@@ -64,6 +64,16 @@ def rank_agreement(a: DataFrame, b: DataFrame, key: list[str], value: str) -> Da
     return ranked.agg(F.count("*").alias("n_shared"), F.corr("rx", "ry").alias("spearman"), F.avg((F.signum("x") == F.signum("y")).cast("double")).alias("same_sign"))
 
 
+def in_all(rows: DataFrame, member: str, key: list[str], share: float = 1.0, by: list[str] | None = None) -> DataFrame:
+    """(by, key) of the keys that at least ``share`` of the members have, all of them by default; members with a null name do not count."""
+    by = by or []
+    known = rows.where(F.col(member).isNotNull())
+    total = known.groupBy(*by).agg(F.countDistinct(member).alias("__all"))
+    found = known.groupBy(*by, *key).agg(F.countDistinct(member).alias("__n"))
+    both = found.join(total, by) if by else found.crossJoin(F.broadcast(total))  # one row
+    return both.where(F.col("__n") >= share * F.col("__all")).select(*by, *key)
+
+
 def convergence(runs: DataFrame, key: list[str], min_frequency: float, lag: int) -> DataFrame:
     """For each k: the panel of loci in at least that share of the first k runs, against the panel ``lag`` runs before."""
     first = runs.select("run_id", *key).distinct()

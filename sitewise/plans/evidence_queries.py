@@ -18,13 +18,13 @@ def _(t):
 
 @register("panel_qc", """WITH r AS (SELECT chrom, region_start, region_end, CASE feature_type WHEN 'exon' THEN 'target' WHEN 'promoter' THEN 'positive' ELSE 'negative' END AS kind FROM regions WHERE feature_type IN ('exon', 'promoter', 'terminator')),
 k AS (SELECT s.chrom, s.pos, bool_or(kind = 'target') AS a, bool_or(kind = 'positive') AS b, bool_or(kind = 'negative') AS c FROM sites s JOIN r ON s.chrom = r.chrom AND s.pos >= region_start AND s.pos < region_end GROUP BY 1, 2),
-j AS (SELECT sample_id, mC + uC AS cov, mC / CAST(nullif(mC + uC, 0) AS DOUBLE) AS x, coalesce(a, FALSE) AS a, coalesce(b, FALSE) AS b, coalesce(c, FALSE) AS c FROM site_counts LEFT JOIN k USING (chrom, pos) WHERE context = 'CG')
+j AS (SELECT sample_id, mC + uC AS cov, mC / CAST(nullif(mC + uC, 0) AS DOUBLE) AS x, coalesce(a, FALSE) AS a, coalesce(b, FALSE) AS b, coalesce(c, FALSE) AS c FROM site_counts LEFT JOIN k USING (chrom, pos))
 SELECT sample_id, count(*) AS n_sites, count(*) FILTER (a) AS n_on_target, avg(cov) FILTER (a) AS on_target_mean_coverage, quantile_cont(CAST(cov AS DOUBLE), 0.5) FILTER (a) AS on_target_median_coverage,
 avg(x) FILTER (b) AS positive_level, avg(x) FILTER (c) AS negative_level, count(*) FILTER (a) / CAST(count(*) AS DOUBLE) AS on_target_fraction FROM j GROUP BY 1""",
     "on_target_mean_coverage on_target_median_coverage positive_level negative_level on_target_fraction")
 def _(t):
     kind = F.when(F.col("feature_type") == "exon", "target").when(F.col("feature_type") == "promoter", "positive").otherwise("negative")
-    return E.panel_qc(t.site_counts.where("context = 'CG'"), t.regions.where("feature_type in ('exon', 'promoter', 'terminator')").withColumn("kind", kind))
+    return E.panel_qc(t.site_counts, t.regions.where("feature_type in ('exon', 'promoter', 'terminator')").withColumn("kind", kind))
 
 
 @register("panel_merge_stable", """WITH p AS (SELECT run_id % 2 AS part, chrom, pos, count(DISTINCT run_id) AS frequency, round(max(effect_size), 9) AS effect_size FROM runs GROUP BY 1, 2, 3)
@@ -42,11 +42,11 @@ def _(t):
     return E.partition_coverage(t.site_counts.withColumnRenamed("cohort", "label"), features, ["promoter", "exon"], 100)
 
 
-@register("signature_overlap", """WITH a AS (SELECT DISTINCT gene FROM gene_sets WHERE term = 'Brand#1'), b AS (SELECT DISTINCT gene FROM gene_sets WHERE term = 'Brand#2'), s AS (SELECT DISTINCT term AS panel, gene FROM gene_sets WHERE library = 'type'),
+@register("signature_overlap", """WITH a AS (SELECT DISTINCT gene FROM gene_sets WHERE term = 'Brand#1'), b AS (SELECT DISTINCT gene FROM gene_sets WHERE term = 'Brand#2'), s AS (SELECT DISTINCT library || ':' || term AS panel, gene FROM gene_sets),
 g AS (SELECT panel, count(*) AS n_selected, count(a.gene) AS n_a, count(b.gene) AS n_b FROM s LEFT JOIN a USING (gene) LEFT JOIN b USING (gene) GROUP BY 1), z AS (SELECT *, n_a / CAST((SELECT count(*) FROM a) AS DOUBLE) AS share_a, n_b / CAST((SELECT count(*) FROM b) AS DOUBLE) AS share_b FROM g)
 SELECT *, CASE WHEN share_a > share_b THEN 'Brand#1' WHEN share_b > share_a THEN 'Brand#2' ELSE 'tie' END AS dominant FROM z""", "share_a share_b")
 def _(t):
-    selected = t.gene_sets.where("library = 'type'").withColumnRenamed("term", "panel")
+    selected = t.gene_sets.select(F.concat_ws(":", "library", "term").alias("panel"), "gene")
     return E.signature_overlap(selected, t.gene_sets.withColumnRenamed("term", "signature"), "Brand#1", "Brand#2")
 
 

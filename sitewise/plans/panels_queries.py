@@ -90,7 +90,7 @@ def _(t):
     return P.choose_lambda(rows, [0.0, 0.5, 1.0, 2.0, 4.0], "z")
 
 
-_OLS = "k AS (SELECT chrom, context, pos, m, age, balance / 1000 AS balance FROM mv JOIN covariates USING (sample_id)), f AS (SELECT chrom, context, pos, count(*) AS n, avg(m) AS my, avg(age) AS ma, avg(balance) AS mb, covar_pop(age, m) AS cay, covar_pop(balance, m) AS cby, covar_pop(age, balance) AS cab, var_pop(age) AS va, var_pop(balance) AS vb FROM k GROUP BY 1, 2, 3), b AS (SELECT *, (cay * vb - cby * cab) / (va * vb - cab * cab) AS slope_age, (cby * va - cay * cab) / (va * vb - cab * cab) AS slope_balance FROM f WHERE n >= 12 AND va * vb - cab * cab > 0.01 * va * vb)"
+_OLS = "k AS (SELECT chrom, context, pos, m, age, balance / 1000 AS balance FROM mv JOIN covariates USING (sample_id)), f AS (SELECT chrom, context, pos, count(*) AS n, avg(m) AS my, avg(age) AS ma, avg(balance) AS mb, covar_pop(age, m) AS cay, covar_pop(balance, m) AS cby, covar_pop(age, balance) AS cab, var_pop(age) AS va, var_pop(balance) AS vb FROM k GROUP BY 1, 2, 3), d AS (SELECT *, CASE WHEN va > 1e-12 AND vb > 1e-12 AND va * vb - cab * cab > 1e-8 * va * vb THEN va * vb - cab * cab END AS det FROM f), b AS (SELECT *, (cay * vb - cby * cab) / det AS slope_age, (cby * va - cay * cab) / det AS slope_balance FROM d)"
 
 
 def _two(t):
@@ -99,17 +99,17 @@ def _two(t):
     return m, c, P.fit_covariates(m, c, ["age", "balance"])
 
 
-@register("adjust_fit_two", f"WITH {_M}, {_OLS} SELECT chrom, context, pos, n, my - slope_age * ma - slope_balance * mb AS intercept, slope_age, slope_balance FROM b", "intercept slope_age slope_balance")
+@register("adjust_fit_two", f"WITH {_M}, {_OLS} SELECT chrom, context, pos, n, round(my - slope_age * ma - slope_balance * mb, 4) AS intercept, round(slope_age, 4) AS slope_age, round(slope_balance, 4) AS slope_balance FROM b", "intercept slope_age slope_balance")
 def _(t):
-    m, c, f = _two(t)
-    spread = m.join(c, "sample_id").groupBy(*C.KEY).agg((F.var_pop("age") * F.var_pop("balance")).alias("v"), F.covar_pop("age", "balance").alias("c")).where("v - c * c > 0.01 * v")
-    return f.where("n >= 12").join(spread.select(*C.KEY), C.KEY, "left_semi")
+    _, _, f = _two(t)
+    return f.select(*C.KEY, "n", *[F.round(c, 4).alias(c) for c in ("intercept", "slope_age", "slope_balance")])
 
 
-@register("adjust_residuals_two")
+@register("adjust_residuals_two", f"""WITH {_M}, {_OLS}, s AS (SELECT chrom, context, pos, my - slope_age * ma - slope_balance * mb AS i, slope_age, slope_balance FROM b)
+SELECT v.* EXCLUDE (m), round(m, 4) AS m, round(coalesce(m - i - slope_age * age - slope_balance * c.balance / 1000, m), 4) AS residual FROM mv v LEFT JOIN s USING (chrom, context, pos) LEFT JOIN covariates c USING (sample_id)""", "m residual")
 def _(t):
     m, c, f = _two(t)
-    return P.residualize_on(m, c, f.where("n >= 12"), ["age", "balance"])
+    return P.residualize_on(m, c, f, ["age", "balance"]).withColumns({x: F.round(x, 4) for x in ("m", "residual")})
 
 
 @register("stage_gene_coverage", """WITH k AS (SELECT stage_index, entity AS gene, row_number() OVER (PARTITION BY stage_index ORDER BY score DESC, entity) AS rk FROM stages), s AS (SELECT DISTINCT * FROM gene_sets), n AS (SELECT library, term, count(*) AS term_size FROM s GROUP BY 1, 2)

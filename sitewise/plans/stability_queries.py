@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import special
+from ..operators import centroid as C
 from ..operators import stability as S
 from .registry import register
 
@@ -67,11 +68,17 @@ def _(t):
     return t.runs.select("chrom", "pos").distinct()
 
 
-@register("panel_in_all_samples", """SELECT chrom, context, pos FROM site_counts WHERE cohort = 'control' GROUP BY 1, 2, 3 HAVING count(DISTINCT sample_id) >= 0.25 * (SELECT count(DISTINCT sample_id) FROM site_counts WHERE cohort = 'control')""")
+@register("panel_in_all_samples", """WITH n AS (SELECT cohort, count(DISTINCT sample_id) AS n_all FROM site_counts GROUP BY 1), c AS (SELECT cohort, chrom, context, pos, count(DISTINCT sample_id) AS n FROM site_counts GROUP BY 1, 2, 3, 4)
+SELECT chrom, context, pos FROM c JOIN n USING (cohort) WHERE n >= 0.25 * n_all GROUP BY 1, 2, 3 HAVING count(*) = (SELECT count(*) FROM n)""")
 def _(t):
-    c = t.site_counts.where("cohort = 'control'")
-    n = c.agg(F.countDistinct("sample_id").alias("n_all"))
-    return c.groupBy("chrom", "context", "pos").agg(F.countDistinct("sample_id").alias("n")).crossJoin(F.broadcast(n)).where("n >= 0.25 * n_all").select("chrom", "context", "pos")
+    """Sites that a quarter of every cohort's samples cover."""
+    kept = S.in_all(t.site_counts, "sample_id", C.KEY, 0.25, ["cohort"])
+    return S.in_all(kept, "cohort", C.KEY)
+
+
+@register("panel_in_all_runs", "SELECT chrom, pos FROM runs GROUP BY 1, 2 HAVING count(DISTINCT run_id) = (SELECT count(DISTINCT run_id) FROM runs)")
+def _(t):
+    return S.in_all(t.runs, "run_id", ["chrom", "pos"])
 
 
 @register("panel_convergence", """WITH f AS (SELECT DISTINCT run_id, chrom, pos FROM runs), o AS (SELECT run_id, row_number() OVER (ORDER BY run_id) AS k FROM (SELECT DISTINCT run_id FROM runs)), ks AS (SELECT k FROM o),

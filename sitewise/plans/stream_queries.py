@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..shared import new_path
 from ..streaming import jobs as J
+from ..streaming import state
 from .centroid_queries import CENTROID, joined_bins
 from .registry import register
 
@@ -50,3 +51,35 @@ s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts, brk DESC ROWS U
 def _(t):
     out = J.sessions(_events(t), "ts", "1 hour", "6 hours", "user_id", "value")
     return J.run_to_table(out, new_path(t.spark, "stream-out")).where("user_id >= 0").select("user_id", "session_start", "n", "largest")
+
+
+def _run_files(t):
+    """The runs table as files, one run each, in the order of the runs."""
+    path = new_path(t.spark, "runs-stream")
+    runs = t.runs.select("run_id", "chrom", "pos", F.col("effect_size").cast("double").alias("effect_size"))
+    found = sorted(r.run_id for r in runs.select("run_id").distinct().collect())
+    for run in found:  # one folder a run, so that a stream takes them one by one
+        runs.where(F.col("run_id") == run).groupBy("run_id", "chrom", "pos").agg(F.min("effect_size").alias("effect_size")).coalesce(1).write.parquet(f"{path}/run{run:06d}")
+    return J.read_stream(t.spark, f"{path}/*", t.spark.createDataFrame([], "run_id long, chrom string, pos long, effect_size double").schema)
+
+
+@register("stream_recurrence", """WITH r AS (SELECT run_id, chrom, pos, min(CAST(effect_size AS DOUBLE)) AS e FROM runs GROUP BY 1, 2, 3)
+SELECT chrom, pos, count(*) AS n_runs, sum(e) AS sum_effect, count(*) FILTER (e > 0) AS n_positive FROM r GROUP BY 1, 2""", "sum_effect")
+def _(t):
+    out = new_path(t.spark, "recurrence")
+    state.run_updates(state.recurrence_stream(_run_files(t), ["chrom", "pos"]), out, new_path(t.spark, "recurrence-checkpoint"))
+    return state.latest(t.spark, out, ["chrom", "pos"])
+
+
+@register("stream_early_stop", """WITH f AS (SELECT DISTINCT run_id, chrom, pos FROM runs), o AS (SELECT run_id, row_number() OVER (ORDER BY run_id) AS k FROM (SELECT DISTINCT run_id FROM runs)), ks AS (SELECT k FROM o),
+s AS (SELECT ks.k, chrom, pos, count(*) AS n FROM f JOIN o USING (run_id) JOIN ks ON o.k <= ks.k GROUP BY 1, 2, 3), p AS (SELECT k, chrom, pos FROM s WHERE n >= 0.5 * k),
+c AS (SELECT ks.k, count(p.chrom) AS size FROM ks LEFT JOIN p USING (k) GROUP BY 1), h AS (SELECT p.k, count(*) AS shared FROM p JOIN p q ON q.k = p.k - 1 AND q.chrom = p.chrom AND q.pos = p.pos GROUP BY 1),
+j AS (SELECT c.k, c.size, CASE WHEN c.k >= 3 THEN CASE WHEN c.size + d.size > 0 THEN coalesce(shared, 0) / CAST(c.size + d.size - coalesce(shared, 0) AS DOUBLE) ELSE 1 END END AS jaccard,
+      CASE WHEN c.k >= 3 THEN abs(c.size - d.size) / CAST(greatest(1, d.size) AS DOUBLE) END AS delta FROM c LEFT JOIN c d ON d.k = c.k - 1 LEFT JOIN h ON h.k = c.k),
+a AS (SELECT *, coalesce(jaccard >= 0.5 AND delta <= 0.5, false) AS agreed FROM j), w AS (SELECT *, sum(CASE WHEN agreed THEN 0 ELSE 1 END) OVER (ORDER BY k) AS g FROM a),
+x AS (SELECT *, CAST(sum(CASE WHEN agreed THEN 1 ELSE 0 END) OVER (PARTITION BY g ORDER BY k) AS INTEGER) AS streak FROM w), y AS (SELECT *, min(CASE WHEN streak >= 2 THEN k END) OVER () AS last FROM x)
+SELECT CAST(k AS INTEGER) AS k, size, jaccard, delta, agreed, streak, streak >= 2 AS stop FROM y WHERE last IS NULL OR k <= last""", "jaccard delta")
+def _(t):
+    stop = state.EarlyStop(new_path(t.spark, "early-stop"), ["chrom", "pos"], min_frequency=0.5, min_runs=3, window=1, jaccard=0.5, max_delta=0.5, patience=2)
+    stop.run(_run_files(t))
+    return stop.log(t.spark)
