@@ -12,6 +12,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.incomplete import chi2_sf
 from ..shared import materialize
 from .running import add_up, deal, quantiles
 
@@ -164,6 +165,24 @@ def cox_fit(rows: DataFrame, columns: list[str], steps: int = 12, ridge: float =
     return beta, value
 
 
+def nested_test(rows: DataFrame, full: list[str], reduced: list[str]) -> DataFrame:
+    """(statistic, degrees, p_value): likelihood-ratio test of a Cox model against one with fewer of its columns.
+
+    One row; the statistic is not below 0. Raises unless ``reduced`` is a proper part of ``full``.
+    """
+    if not set(reduced) < set(full):
+        raise ValueError("the reduced model has some of the full model's columns, not all")
+    log = {k: cox_fit(rows, c)[1] if c else cox_null(rows) for k, c in (("full", full), ("reduced", reduced))}
+    one = rows.sparkSession.range(1).select(F.lit(max(2 * (log["full"] - log["reduced"]), 0.0)).alias("statistic"), F.lit(len(full) - len(reduced)).alias("degrees"))
+    return one.withColumn("p_value", chi2_sf(F.col("statistic"), F.col("degrees")))
+
+
+def cox_null(rows: DataFrame) -> float:
+    """Log partial likelihood of a model without columns."""
+    g = deal(rows.select("time", "event"), [], [F.desc("time")]).groupBy("__part", "time").agg(F.count("*").alias("s"), F.sum("event").alias("d"))
+    return float(add_up(g, [], [F.desc("time")], {"r": "s"}).where("d > 0").agg(F.coalesce(-F.sum(F.col("d") * F.log("r")), F.lit(0.0))).first()[0])
+
+
 def deconvolve(levels: DataFrame, basis: DataFrame, parts: list[str], rounds: int = 2000) -> DataFrame:
     """Shares of the parts of each sample's mixture: least squares on the simplex.
 

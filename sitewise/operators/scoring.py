@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import fdr
 from .running import running
-from .stability import hash31
+from .stability import mixed31
 
 CELLS = ("tp", "fp", "tn", "fn")
 
@@ -79,12 +79,56 @@ def bootstrap(pred: DataFrame, draws: int, seed: int = 13) -> DataFrame:
     parts = []
     for label, (n, right) in sizes.items():
         pick = pred.sparkSession.range(draws * n).select((F.col("id") / F.lit(max(n, 1))).cast("long").alias("draw"), (F.col("id") % max(n, 1) + 1).alias("i"))
-        place = hash31(F.col("i"), F.col("draw") + 1, seed) % max(n, 1)
+        place = mixed31(F.col("i"), F.col("draw") + 1, seed) % max(n, 1)
         parts.append(pick.groupBy("draw").agg(F.avg((place < right).cast("double")).alias(f"rate{label}")))
     b = parts[0].join(parts[1], "draw").select(((F.col("rate1") + F.col("rate0")) / 2).alias("b"))
     return b.agg(F.count("*").alias("draws"), F.avg("b").alias("mean"), F.percentile("b", 0.025).alias("low"), F.percentile("b", 0.975).alias("high"))
 
 
+def bootstrap_metrics(pred: DataFrame, draws: int, seed: int = 13) -> DataFrame:
+    """(metric, point, n_valid, mean, sd, low, high): the hold-out metrics of all rows and their spread over stratified resamples.
+
+    Metrics are accuracy, balanced accuracy, sensitivity, specificity, F1 of class 1 and the
+    mean F1 of both; all follow from a draw's four cells. Draws are those of ``bootstrap``; a
+    class without rows has no draws of its own, and a metric that a draw lacks does not count.
+    """
+    cells = confusion(pred).first()
+    sizes = {1: (cells.tp + cells.fn, cells.tp), 0: (cells.tn + cells.fp, cells.tn)}
+    spark = pred.sparkSession
+    right = spark.range(draws).select(F.col("id").alias("draw"))
+    for label, (n, good) in sizes.items():
+        pick = spark.range(draws * n).select((F.col("id") / F.lit(max(n, 1))).cast("long").alias("draw"), (F.col("id") % max(n, 1) + 1).alias("i"))
+        hits = pick.groupBy("draw").agg(F.count_if(mixed31(F.col("i"), F.col("draw") + 1, seed) % max(n, 1) < good).alias(f"r{label}"))
+        right = right.join(hits, "draw", "left").withColumn(f"r{label}", F.coalesce(f"r{label}", F.lit(0)))
+    whole = spark.range(1).select(F.lit(-1).cast("long").alias("draw"), F.lit(cells.tp).cast("long").alias("r1"), F.lit(cells.tn).cast("long").alias("r0"))
+    n1, n0 = sizes[1][0], sizes[0][0]
+    share = lambda a, b: F.when(b > 0, a / b)
+    tp, tn = F.col("r1"), F.col("r0")
+    fp, fn = n0 - tn, n1 - tp
+    sens, spec = share(tp, F.lit(n1)), share(tn, F.lit(n0))
+    f1 = lambda hit, wrong: F.coalesce(share(2.0 * hit, 2 * hit + wrong), F.lit(0.0))
+    metrics = {"accuracy": share(tp + tn, F.lit(n1 + n0)), "balanced_accuracy": (sens + spec) / 2, "sensitivity": sens, "specificity": spec, "f1": f1(tp, fp + fn), "macro_f1": (f1(tp, fp + fn) + f1(tn, fp + fn)) / 2}
+    long = right.unionByName(whole).select("draw", F.explode(F.array(*[F.struct(F.lit(k).alias("metric"), v.alias("v")) for k, v in metrics.items()])).alias("m")).select("draw", "m.*")
+    drawn = F.when(F.col("draw") >= 0, F.col("v"))
+    return long.groupBy("metric").agg(
+        F.max(F.when(F.col("draw") < 0, F.col("v"))).alias("point"), F.count(drawn).alias("n_valid"), F.avg(drawn).alias("mean"), F.stddev_pop(drawn).alias("sd"),
+        F.percentile(drawn, 0.025).alias("low"), F.percentile(drawn, 0.975).alias("high"))
+
+
+def time_dependent_auc(rows: DataFrame, horizons: list[float]) -> DataFrame:
+    """(horizon, n1, n0, auc): how well ``risk`` tells those with an event by each horizon from those still there after it.
+
+    Who left before without an event counts for neither; a horizon without one side has a null area.
+    """
+    times = F.array(*[F.lit(float(h)) for h in horizons])
+    long = rows.select("time", "event", "risk", F.explode(times).alias("horizon"))
+    case, control = (F.col("time") <= F.col("horizon")) & (F.col("event") > 0), F.col("time") > F.col("horizon")
+    sided = long.where(case | control).select("horizon", "risk", F.when(case, 1).otherwise(0).alias("y_true"))
+    found = rank_auc(sided, "risk", ["horizon"])
+    every = rows.sparkSession.createDataFrame([(float(h),) for h in horizons], "horizon double")
+    return every.join(found, "horizon", "left").select("horizon", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n1", "n0")], "auc")
+
+
 def decide(pred: DataFrame, p: str, margin: float, confidence: float) -> DataFrame:
     """control, disease or indeterminate, with the reason."""
     best, gap = F.greatest(F.col(p), 1 - F.col(p)), F.abs(2 * F.col(p) - 1)

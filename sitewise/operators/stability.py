@@ -15,6 +15,14 @@ def hash31(*parts: Column | int) -> Column:
     return total % 2147483647
 
 
+def mixed31(*parts: Column | int) -> Column:
+    """``hash31`` squared twice: a linear hash of running numbers, taken modulo a size, only goes round."""
+    x = hash31(*parts)
+    for add in (11, 1009):
+        x = (x + add) * (x + add) % 2147483647
+    return x
+
+
 def collapse_runs(runs: DataFrame, key: list[str]) -> DataFrame:
     """One row per run and locus: mean effect, exact median p, sign of the mean delta with 0 as +1."""
     return runs.groupBy("run_id", *key).agg(

@@ -161,7 +161,7 @@ def _distance_sql(c: str) -> str:
 @register("chromosome_features", f"""WITH l AS (SELECT sample_id, cohort, chrom, context, pos, mC / CAST(mC + uC AS DOUBLE) AS x, least((mC * 20) // (mC + uC), 19) AS bin FROM site_counts WHERE mC + uC > 0),
 w AS (SELECT chrom, context, pos, abs(avg(x) FILTER (cohort = 'control') - avg(x) FILTER (cohort = 'disease')) AS weight FROM l GROUP BY 1, 2, 3 HAVING count(DISTINCT cohort) = 2),
 sw AS (SELECT coalesce(w.chrom, '*') AS chrom, sum(weight) AS site_weight FROM w GROUP BY ROLLUP (w.chrom)),
-cs AS (SELECT cohort, chrom, context, pos, bin, count(*) / CAST(sum(count(*)) OVER (PARTITION BY cohort, chrom, context, pos) AS DOUBLE) AS p FROM l JOIN w USING (chrom, context, pos) GROUP BY ALL),
+cs AS (SELECT cohort, chrom, context, pos, bin, count(*) / CAST(sum(count(*)) OVER (PARTITION BY cohort, chrom, context, pos) AS DOUBLE) AS p FROM l JOIN w USING (chrom, context, pos) GROUP BY cohort, chrom, context, pos, bin),
 n AS (SELECT chrom, count(*) AS n FROM w GROUP BY chrom),
 hc AS (SELECT chrom, bin, sum(p) FILTER (cohort = 'control') / any_value(n) AS c, sum(p) FILTER (cohort = 'disease') / any_value(n) AS d FROM cs JOIN n USING (chrom) GROUP BY 1, 2),
 h AS (SELECT chrom, bin, coalesce(c, 0) AS control, coalesce(d, 0) AS disease FROM hc

@@ -45,7 +45,7 @@ def _(t):
 i AS (SELECT *, row_number() OVER (PARTITION BY gene_id ORDER BY p) AS i, count(*) OVER (PARTITION BY gene_id) AS k FROM p),
 g AS (SELECT gene_id, count(*) AS k, -2 * sum(ln(p)) AS fisher_stat, min(p) AS m, least(min(k * p / i), 1) AS simes, avg(-{special.norm_ppf('p')}) AS mz, sum(p) AS sp, sum({special.norm_ppf('greatest(least(1 - pow(p, 1 / CAST(k AS DOUBLE)), 1 - 1e-15), 1e-300)')}) AS mg FROM i GROUP BY gene_id),
 f AS (SELECT *, least(1, list_sum([exp(j * ln(fisher_stat / 2) - fisher_stat / 2 - lgamma(j + 1)) for j in range(0, k)])) AS fisher FROM g)
-SELECT gene_id, k, fisher_stat, 1 - pow(1 - m, k) AS tippett, simes, {special.norm_sf('mz')} AS stouffer, fisher, fisher AS lancaster,
-CASE WHEN k < 20 THEN 1 - pow(least(sp, 1), k) ELSE {special.norm_sf('((sp - k / 2e0) / sqrt(k / 12e0))')} END AS edgington, {special.norm_sf('(mg / sqrt(k))')} AS mudholkar_george FROM f""", "fisher_stat tippett simes stouffer fisher lancaster edgington mudholkar_george")
+SELECT gene_id, k, fisher_stat, 1 - pow(1 - m, k) AS tippett, simes, {special.norm_sf('mz')} AS stouffer, fisher,
+CASE WHEN k < 20 THEN 1 - pow(least(sp, 1), k) ELSE {special.norm_sf('((sp - k / 2e0) / sqrt(k / 12e0))')} END AS edgington, {special.norm_sf('(mg / sqrt(k))')} AS mudholkar_george FROM f""", "fisher_stat tippett simes stouffer fisher edgington mudholkar_george")
 def _(t):
     return G.combine_p(_hits(t), ["gene_id"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import multiclass as K
+from ..operators.derived import FrozenSchema
 from .registry import register
 
 _B = "CASE WHEN mC + uC > 0 THEN least((mC * 20) // (mC + uC), 19) ELSE 0 END"
@@ -13,9 +14,8 @@ _B = "CASE WHEN mC + uC > 0 THEN least((mC * 20) // (mC + uC), 19) ELSE 0 END"
 def _panel(k: int, weight: str) -> str:
     h = ", ".join("[{}] AS h{}".format(", ".join(f"count(*) FILTER (k = {i} AND b = {b})" for b in range(20)), i) for i in range(k))
     p = ", ".join(f"[(x + 0.5e0) / (list_sum(h{i}) + 10) for x in h{i}] AS p{i}" for i in range(k))
-    on = " AND ".join(f"list_sum(h{i}) > 0" for i in range(k))
     return (f"s AS (SELECT *, CAST(sample_id AS BIGINT) % {k} AS k, {_B} AS b FROM site_counts), h AS (SELECT chrom, context, pos, {h} FROM s GROUP BY 1, 2, 3), "
-            f"p AS (SELECT chrom, context, pos, {weight} AS w, {p} FROM h WHERE {on})")
+            f"p AS (SELECT chrom, context, pos, {weight} AS w, {p} FROM h)")
 
 
 _LOG = lambda i: f"greatest(ln(greatest(p{i}[b + 1], 1e-300)), -20)"
@@ -37,6 +37,15 @@ def _(t):
     return _out(K.class_scores(c, panel, 3))
 
 
+_OWN = lambda i: f"(1 + ((pos + {i}) % 7) * 0.1e0)"
+
+
+@register("multiclass_class_weights", f"WITH {_panel(3, '1')} SELECT sample_id, count(*) AS n_loci, " + ", ".join(f"sum({_OWN(i)} * {_LOG(i)}) / sum({_OWN(i)}) AS s{i}" for i in range(3)) + " FROM s JOIN p USING (chrom, context, pos) GROUP BY 1", "s0 s1 s2")
+def _(t):
+    c = t.site_counts.withColumn("k", F.col("sample_id").cast("long") % 3)
+    return _out(K.class_scores(c, K.class_panel(c, "k", [0, 1, 2], [1 + ((F.col("pos") + i) % 7) * 0.1 for i in range(3)]), 3))
+
+
 @register("multiclass_contrast", f"WITH {_panel(3, _W)}, g AS (SELECT sample_id, count(*) AS n_loci, " + ", ".join(f"sum(w * ({_LOG(i)} - {_LOG(0)})) / sum(w) AS s{i}" for i in (1, 2)) + " FROM s JOIN p USING (chrom, context, pos) GROUP BY 1) SELECT sample_id, n_loci, -greatest(s1, s2) AS s0, s1, s2 FROM g", "s0 s1 s2")
 def _(t):
     c, panel = _three(t)
@@ -98,3 +107,37 @@ def _(t):
 def _(t):
     labels = t.site_counts.select("sample_id", (F.col("sample_id").cast("long") % 2).alias("label")).distinct()
     return K.fit_chromosome_weights(_by_chrom(t), labels, ["1", "2", "3"])
+
+
+_SCALED = """u AS (SELECT feature_id, quantile_cont(value, 0.5) AS fill, min(value) AS lo, max(value) AS hi FROM features GROUP BY 1), ids AS (SELECT DISTINCT sample_id FROM features),
+sc AS (SELECT ids.sample_id, u.feature_id, least(greatest(CASE WHEN hi - lo > 1e-12 THEN (coalesce(value, fill) - lo) / (hi - lo) ELSE 0.5e0 END, 1e-7), 1 - 1e-7) AS v FROM ids CROSS JOIN u LEFT JOIN features USING (sample_id, feature_id)),
+b AS (SELECT sample_id, feature_id, CAST(sample_id AS BIGINT) % 3 AS k, least(CAST(floor(v * 10) AS INT), 9) AS b FROM sc)"""
+
+
+def _feature_heads(t):
+    long = t.features.select("sample_id", F.col("feature_id").alias("feature"), F.col("value").cast("double").alias("value"))
+    labels = long.select("sample_id", (F.col("sample_id").cast("long") % 3).alias("label")).distinct()
+    schema = FrozenSchema.fit(long)
+    return long, schema, K.feature_heads(long, labels, schema, [0, 1, 2], bins=10)
+
+
+@register("multiclass_feature_heads", f"""WITH {_SCALED}, h AS (SELECT feature_id, b, hd AS head, count(*) FILTER (k = hd) AS c1, count(*) FILTER (k <> hd) AS c0 FROM b, (SELECT unnest([0, 1, 2]) AS hd) q GROUP BY 1, 2, 3),
+n AS (SELECT feature_id, head, sum(c1) AS n1, sum(c0) AS n0 FROM h GROUP BY 1, 2), w AS (SELECT feature_id, 1.0e0 + length(feature_id) % 2 AS w FROM u),
+g AS (SELECT sample_id, head, sum(w * (greatest(ln(greatest(c1 / CAST(n1 AS DOUBLE) * 10, 1e-300)), -20) - greatest(ln(greatest(c0 / CAST(n0 AS DOUBLE) * 10, 1e-300)), -20))) / sum(w) AS llr, pow(sum(w), 2) / sum(w * w) AS n_eff, max(ln(n1 / CAST(n0 AS DOUBLE))) AS odds
+      FROM b JOIN h USING (feature_id, b) JOIN n USING (feature_id, head) JOIN w USING (feature_id) GROUP BY 1, 2),
+l AS (SELECT sample_id, head, least(greatest(llr * least(2 * sqrt(n_eff), 10) + odds, -40), 40) AS l FROM g)
+SELECT sample_id, {', '.join(f"max(l) FILTER (head = {k}) AS l{k}" for k in range(3))}, {', '.join(f"exp(max(l) FILTER (head = {k}) - max(l)) / (exp(max(l) FILTER (head = 0) - max(l)) + exp(max(l) FILTER (head = 1) - max(l)) + exp(max(l) FILTER (head = 2) - max(l))) AS p{k}" for k in range(3))} FROM l GROUP BY 1""", "l0 l1 l2 p0 p1 p2")
+def _(t):
+    long, schema, heads = _feature_heads(t)
+    weights = schema.table.select("feature", (1.0 + F.length("feature") % 2).alias("weight"))
+    out = K.score_feature_heads(long, schema, heads, 3, weights, bins=10)
+    return out.select("sample_id", *[F.element_at(c, k + 1).alias(f"{c[0]}{k}") for c in ("logits", "p") for k in range(3)])
+
+
+@register("multiclass_learned_head", None, "p0 p1 p2")
+def _(t):
+    c, panel = _three(t)
+    scores = K.class_scores(c, panel, 3)
+    labels = c.select("sample_id", F.col("k").alias("label")).distinct()
+    _, p = K.learned_head(scores, labels)
+    return p.select("sample_id", *[F.element_at("p", k + 1).alias(f"p{k}") for k in range(3)])

@@ -144,15 +144,6 @@ def _(t):
     return files.read_protein_report(t.spark, path).select(F.col("run").cast("long").alias("sample_id"), "protein", "intensity")
 
 
-@register("file_gene_counts", "SELECT CAST(l_suppkey AS VARCHAR) AS sample_id, 'G' || CAST(l_partkey % 40 AS VARCHAR) AS gene, sum(l_quantity) AS count FROM lineitem WHERE l_partkey % 40 < 30 GROUP BY 1, 2", "count")
-def _(t):
-    part = F.col("l_partkey") % 40
-    tx = F.concat(F.lit("T"), part.cast("string"), F.when(F.col("l_linenumber") % 2 == 0, ".1").otherwise(".2"))
-    rows = t.lineitem.select(F.col("l_suppkey").cast("string").alias("sample_id"), tx.alias("tx"), F.col("l_quantity").alias("count"))
-    tx2gene = t.part.select((F.col("p_partkey") % 40).alias("k")).distinct().where("k < 30").select(F.concat(F.lit("T"), F.col("k").cast("string"), F.lit(".1")).alias("tx"), F.concat(F.lit("G"), F.col("k").cast("string")).alias("gene"))
-    return files.gene_counts(rows, tx2gene)
-
-
 @register("context_split", "SELECT chrom, context, count(*) AS n, CAST(sum(mC) AS BIGINT) AS mC FROM site_counts GROUP BY 1, 2")
 def _(t):
     path = new_path(t.spark, "contexts")

@@ -12,7 +12,7 @@ from .fixtures import Tables, duck
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _oracles: dict[str, str] = {}
-MODULES = ("centroid", "detect", "intervals", "genes", "stability", "samples", "scoring", "enrichment", "adjust", "models", "annotation", "multiclass", "panels", "evidence", "fits", "stream")
+MODULES = ("centroid", "detect", "intervals", "genes", "stability", "samples", "scoring", "enrichment", "adjust", "models", "annotation", "multiclass", "panels", "evidence", "fits", "scores", "stream")
 
 
 def register(name: str, sql: str | None = None, rounds: str = ""):

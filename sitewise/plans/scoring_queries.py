@@ -40,8 +40,12 @@ def _(t):
     return S.rank_auc(t.predictions)
 
 
-@register("eval_bootstrap", """WITH s AS (SELECT y_true, count(*) AS n, count(*) FILTER (y_true = y_pred) AS good FROM predictions GROUP BY 1),
-a AS (SELECT draw, y_true, ((i * 48271 + draw * 69621 + 13 * 16807) % 2147483647) % n < good AS hit FROM (SELECT y_true, n, good, unnest(generate_series(1, n)) AS i FROM s), generate_series(1, 1000) d(draw)),
+_SQUARE = "(({0} + {1}) * ({0} + {1}) % 2147483647)"
+_MIXED = _SQUARE.format(_SQUARE.format("((i * 48271 + draw * 69621 + 13 * 16807) % 2147483647)", 11), 1009)
+
+
+@register("eval_bootstrap", f"""WITH s AS (SELECT y_true, count(*) AS n, count(*) FILTER (y_true = y_pred) AS good FROM predictions GROUP BY 1),
+a AS (SELECT draw, y_true, {_MIXED} % n < good AS hit FROM (SELECT y_true, n, good, unnest(generate_series(1, n)) AS i FROM s), generate_series(1, 1000) d(draw)),
 c AS (SELECT draw, y_true, avg(CASE WHEN hit THEN 1.0e0 ELSE 0 END) AS r FROM a GROUP BY 1, 2), b AS (SELECT draw, avg(r) AS b FROM c GROUP BY 1)
 SELECT count(*) AS draws, avg(b) AS mean, quantile_cont(b, 0.025) AS low, quantile_cont(b, 0.975) AS high FROM b""", "mean low high")
 def _(t):

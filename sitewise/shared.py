@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; set to a local one only where unset (tests)."""
+    """The folder named by ``spark.checkpoint.dir``; set to a local one only where unset and Spark runs on this machine alone (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

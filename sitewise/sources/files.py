@@ -1,4 +1,4 @@
-"""Text formats read and written with Spark's own text and CSV sources."""
+"""Text formats read and written with Spark's own text and CSV sources. Names of columns, fields and lines are those of the outside formats: fixed values."""
 
 from __future__ import annotations
 
@@ -75,15 +75,6 @@ def flatten_json(df: DataFrame, key: str, json_col: str) -> DataFrame:
     return df.select(key, F.explode(m).alias("metric", "text")).select(key, "metric", F.col("text").try_cast("double").alias("value")).where("value is not null")
 
 
-def gene_counts(abundance: DataFrame, tx2gene: DataFrame) -> DataFrame:
-    """Transcript counts added up to genes; versions are stripped where the full id is unknown."""
-    bare = lambda c: F.regexp_replace(c, r"\.\d+$", "")
-    full = tx2gene.select(F.col("tx").alias("tx"), F.col("gene").alias("g1"))
-    short = tx2gene.select(bare(F.col("tx")).alias("bare"), F.col("gene").alias("g2")).dropDuplicates(["bare"])
-    j = abundance.join(full, "tx", "left").withColumn("bare", bare(F.col("tx"))).join(short, "bare", "left")
-    return j.groupBy("sample_id", F.coalesce("g1", "g2").alias("gene")).agg(F.sum("count").alias("count")).where("gene is not null")
-
-
 def read_protein_report(spark: SparkSession, path: str) -> DataFrame:
     """(run, protein, intensity): largest intensity of each protein group and run in a tab-separated report."""
     df = spark.read.csv(path, header=True, sep="\t")
