@@ -38,8 +38,8 @@ BLOCK, COLUMNS = 128, 8_192
 BATCH_ROWS, BATCH_BLOCKS = 500, 8
 #: A shingle's weight is count * idf; idf falls from 1 + IDF_SPAN, in one text, to 1, in all.
 IDF_SPAN = 0.2
-#: Texts of a batch and shingles of a bucket, about.
-BATCH_TEXTS, BUCKET_SHINGLES = 1_000, 500_000
+#: Texts of a batch and shingles of a bucket, about; shingles that are sampled at once.
+BATCH_TEXTS, BUCKET_SHINGLES, SAMPLED = 1_000, 500_000, 100_000
 #: Steps of the logarithm of a document frequency in its one-byte code.
 LEVELS_PER_E = 8
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -177,8 +177,8 @@ def _signed(texts: DataFrame, shared: DataFrame, buckets: int, n_texts: int) ->
             if w[on].sum() >= SIMILARITY * w.sum() * (1 - 1e-9):
                 kept.append((nodes[row], h, w, on, float(level.mean())))
         out = {name: [] for name in schema.names}
-        for i in range(0, len(kept), 200):
-            part = kept[i:i + 200]
+        last = np.cumsum([len(x[1]) for x in kept]) // SAMPLED
+        for part in ([x for x, k in zip(kept, last) if k == chunk] for chunk in np.unique(last)):
             sizes = np.array([len(x[1]) for x in part])
             samples = weighted_samples(np.concatenate([x[1] for x in part]), np.concatenate([x[2] for x in part]), np.cumsum(sizes) - sizes, BANDS * ROWS)
             for (node, h, w, on, pop), s in zip(part, samples):
@@ -193,6 +193,7 @@ def _signed(texts: DataFrame, shared: DataFrame, buckets: int, n_texts: int) ->
                 for j in range(ROWS):
                     keys_of = mix(keys_of ^ s.reshape(BANDS, ROWS)[:, j])
                 out["bands"].append(mix(keys_of + np.arange(BANDS, dtype=np.uint64)).astype(np.int64).tolist())
+        pa.default_memory_pool().release_unused()  # a worker keeps what a group needed only while it needs it
         return pa.table(out, schema=schema)
 
     return texts.groupBy("b").cogroup(shared.groupBy("b")).applyInArrow(run, "node long, total double, pop double, ids binary, weights binary, bands array<long>")
