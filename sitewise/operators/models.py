@@ -115,8 +115,9 @@ def concordance(rows: DataFrame, buckets: int = 512) -> DataFrame:
     """Harrell's C from counts instead of pairs.
 
     Risks are cut into buckets by quantile. Pairs in different buckets come from running
-    sums over a grid of distinct times by buckets, so times should be whole units such as
-    days; pairs in one bucket are joined on it.
+    sums over a grid of distinct times by buckets, so times should be whole units such as days.
+    Inside a bucket risks are numbered, and pairs are counted where their numbers' highest
+    differing bit lies: a row costs one entry a bit, and no pair is built.
     """
     cuts = rows.select(F.percentile_approx("risk", [k / buckets for k in range(1, buckets)], 100_000).alias("c"))
     b = materialize(rows.crossJoin(F.broadcast(cuts)).select("time", "event", "risk", F.size(F.filter("c", lambda v: v < F.col("risk"))).alias("b")), "concordance")
@@ -128,8 +129,21 @@ def concordance(rows: DataFrame, buckets: int = 512) -> DataFrame:
     lower = F.sum("later").over(Window.partitionBy("time").orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
     grid = grid.withColumn("lower", F.coalesce(lower, F.lit(0))).withColumn("others", F.sum("later").over(Window.partitionBy("time")) - F.col("later"))
     far = grid.agg(F.sum(F.col("d") * F.col("lower")).cast("double").alias("good"), F.sum(F.col("d") * F.col("others")).alias("every"))
-    near = b.where("event = 1").join(b.select(F.col("time").alias("t2"), F.col("risk").alias("r2"), "b"), "b").where("t2 > time").agg(
-        F.sum(F.when(F.col("r2") < F.col("risk"), 1.0).when(F.col("r2") == F.col("risk"), 0.5).otherwise(0.0)).alias("good"), F.count("*").alias("every"))
+    numbered = materialize(b.withColumn("r", F.dense_rank().over(Window.partitionBy("b").orderBy("risk"))), "concordance-ranks")
+    bits = (numbered.agg(F.max("r")).first()[0] or 1).bit_length()
+
+    def later_of(rows: DataFrame, by: list[str], low: Column, high: Column) -> DataFrame:
+        """(times, pairs): for each event of ``high`` the ``low`` rows of its group with a later time."""
+        g = rows.groupBy(*by, "time").agg(F.sum(low.cast("long")).alias("l"), F.sum(F.when(high, F.col("event")).otherwise(0)).alias("d"))
+        w = Window.partitionBy(*by).orderBy(F.desc("time")).rowsBetween(Window.unboundedPreceding, -1)
+        return g.select((F.col("d") * F.coalesce(F.sum("l").over(w), F.lit(0))).cast("double").alias("pairs")).agg(F.coalesce(F.sum("pairs"), F.lit(0.0)).alias("pairs"))
+
+    level = numbered.select("*", F.explode(F.array(*[F.lit(k) for k in range(bits)])).alias("bit")).withColumn("prefix", F.expr("shiftright(r, bit + 1)")).withColumn("one", F.expr("shiftright(r, bit) & 1") == 1)
+    always = F.lit(True)
+    higher = later_of(level, ["b", "bit", "prefix"], ~F.col("one"), F.col("one"))
+    equal = later_of(numbered, ["b", "r"], always, always)
+    inside = later_of(numbered, ["b"], always, always)
+    near = higher.withColumnRenamed("pairs", "h").crossJoin(F.broadcast(equal.withColumnRenamed("pairs", "q"))).crossJoin(F.broadcast(inside)).select((F.col("h") + 0.5 * F.col("q")).alias("good"), F.col("pairs").cast("long").alias("every"))  # one row each
     return far.unionByName(near).agg((F.sum("good") / F.sum("every")).alias("c_index"), F.sum("every").cast("long").alias("n_pairs"))
 
 

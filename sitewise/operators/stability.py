@@ -83,19 +83,40 @@ def in_all(rows: DataFrame, member: str, key: list[str], share: float = 1.0, by:
 
 
 def convergence(runs: DataFrame, key: list[str], min_frequency: float, lag: int) -> DataFrame:
-    """For each k: the panel of loci in at least that share of the first k runs, against the panel ``lag`` runs before."""
+    """For each k: the panel of loci in at least that share of the first k runs, against the panel ``lag`` runs before.
+
+    Between two runs that show it a locus's count stays, so it is in the panels of a span of k.
+    Spans cost a row for each appearance; sizes and shared loci are sums of spans' beginnings and
+    ends, those of a locus added up in a window of its own.
+    """
     first = runs.select("run_id", *key).distinct()
-    order = runs.select("run_id").distinct().withColumn("k", F.row_number().over(Window.orderBy("run_id")))  # one row per run
+    order = runs.select("run_id").distinct().withColumn("k", F.row_number().over(Window.orderBy("run_id")).cast("long"))  # one row per run
     last = order.agg(F.max("k").alias("last"))
-    rows = first.join(F.broadcast(order), "run_id").crossJoin(F.broadcast(last))
-    seen = rows.withColumn("k", F.explode(F.sequence("k", "last"))).groupBy("k", *key).agg(F.count("*").alias("n"))
-    panel = seen.where(F.col("n") >= min_frequency * F.col("k")).select("k", *key)
-    now = panel.groupBy("k").agg(F.count("*").alias("size"))
-    before = panel.withColumn("k", F.col("k") + lag)
-    shared = panel.join(before, ["k", *key]).groupBy("k").agg(F.count("*").alias("shared"))
-    old = before.groupBy("k").agg(F.count("*").alias("old_size"))
-    j = now.join(old, "k").join(shared, "k", "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
-    return j.select("k", "size", (F.col("size") - F.col("old_size")).alias("delta"), (F.col("shared") / (F.col("size") + F.col("old_size") - F.col("shared"))).alias("jaccard"))
+    w = Window.partitionBy(*key).orderBy("k")
+    rows = first.join(order, "run_id").crossJoin(F.broadcast(last))  # one row
+    seen = rows.select(*key, F.col("k").alias("s"), F.row_number().over(w).cast("long").alias("n"), F.coalesce(F.lead("k").over(w) - 1, F.col("last")).alias("until"))
+    # The last k with n >= share * k, whatever the rounding of the quotient.
+    near = [F.floor(F.col("n") / min_frequency) + d for d in (1, 0, -1)]
+    end = F.least(F.coalesce(*[F.when(F.col("n") >= min_frequency * k, k) for k in near], F.lit(0)), F.col("until"))
+    spans = seen.withColumn("e", end).where("e >= s").select(*key, "s", "e")
+
+    def steps(df: DataFrame, begin: str, after: str) -> DataFrame:
+        return df.select(F.explode(F.array(F.struct(F.col(begin).alias("k"), F.lit(1).alias("d")), F.struct(F.col(after).alias("k"), F.lit(-1).alias("d")))).alias("x")).select("x.*")
+
+    def at_each_run(changes: DataFrame, name: str) -> DataFrame:
+        total = changes.groupBy("k").agg(F.sum("d").alias("d"))
+        return order.select("k").join(total, "k", "left").select("k", F.sum(F.coalesce("d", F.lit(0))).over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)).alias(name))
+
+    size = at_each_run(steps(spans.withColumn("after", F.col("e") + 1), "s", "after"), "size")
+    change = lambda k, a, b: F.struct(k.alias("k"), F.lit(a).alias("a"), F.lit(b).alias("b"))
+    s, e = F.col("s"), F.col("e") + 1
+    moves = spans.select(*key, F.explode(F.array(change(s, 1, 0), change(e, -1, 0), change(s + lag, 0, 1), change(e + lag, 0, -1))).alias("x")).groupBy(*key, F.col("x.k").alias("k")).agg(F.sum("x.a").alias("a"), F.sum("x.b").alias("b"))
+    up_to = w.rowsBetween(Window.unboundedPreceding, 0)
+    both = moves.select("k", F.sum("a").over(up_to).alias("in_now"), F.sum("b").over(up_to).alias("in_old"), F.lead("k").over(w).alias("after")).where("in_now > 0 and in_old > 0")
+    shared = at_each_run(steps(both, "k", "after"), "shared")
+    old = size.select((F.col("k") + lag).alias("k"), F.col("size").alias("old_size"))
+    j = size.join(old, "k").join(shared, "k").where("size > 0 and old_size > 0")
+    return j.select(F.col("k").cast("int").alias("k"), "size", (F.col("size") - F.col("old_size")).alias("delta"), (F.col("shared") / (F.col("size") + F.col("old_size") - F.col("shared"))).alias("jaccard"))
 
 
 def summary(long: DataFrame, by: list[str], value: str = "value") -> DataFrame:
