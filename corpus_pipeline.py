@@ -1,4 +1,8 @@
-"""The corpus pipeline: five stages over ``documents``, each written before the next reads it."""
+"""The corpus pipeline: five stages over ``documents``, each written before the next reads it.
+
+All stages but the last return the columns of ``documents``, extra and clashing ones included,
+and none of them crashes on an empty table, which gives an empty one. Repeated rows are rows.
+"""
 
 from __future__ import annotations
 
@@ -13,18 +17,29 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the base rules and the learned decision list keep."""
+    """Rows that the base rules and the learned decision list keep.
+
+    Null, empty and very short texts fail the base rules and go. Without labels only the base
+    rules hold; a row without a label is judged like any other. Null ids stay as they are.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.judge_quality(docs, labels).where("kept").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates."""
+    """One document of each class of near-duplicates: that of the smallest id, null ids last.
+
+    Texts without a word are each a class of their own and stay. Of rows that repeat the kept id
+    and text one stays.
+    """
     return minhash.keep_one(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, with each secret in a text replaced by a mark and n_chars counted anew."""
+    """All rows, with each secret in a text replaced by a mark and n_chars counted anew.
+
+    Null texts stay null and hold nothing; n_chars stays where nothing was found.
+    """
     names = docs.columns
     rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
     found = secrets.find_secrets(rows, keep=("row",)).withColumn("__text", F.col("row.text"))
@@ -34,12 +49,16 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows as often as the mix of sources takes them."""
+    """Rows as often as the mix of sources takes them, up to three times.
+
+    A null source is a source of its own, the last in order. Texts without a word have size 0
+    and add nothing, whether taken or not; ties of the hash take the same side everywhere.
+    """
     return mixing.repeat_rows(docs)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256) of each row."""
+    """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256) of each row; null and empty texts have no tokens."""
     coded = bpe.encode(docs, TOKENIZER)
     return coded.select(
         "doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"), "ids",
