@@ -394,7 +394,7 @@ def test_pipeline_stages(spark, tmp_path):
 
 
 def test_queries_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in queries.queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.queries()} == set(range(1, 14))
     assert set(queries.oracle_sql()) <= set(queries.queries())
 
 
