@@ -37,7 +37,7 @@ def any_hits(genes: DataFrame, columns: list[str]) -> DataFrame:
 
 def theme(df: DataFrame, term: str, patterns: DataFrame) -> DataFrame:
     """The theme of the first pattern, by order, found in the term; ``patterns`` is a short list."""
-    hits = df.select(term).distinct().join(F.broadcast(patterns), F.expr(f"rlike({term}, pattern)"))
+    hits = df.select(term).distinct().join(patterns, F.expr(f"rlike({term}, pattern)"))
     best = hits.groupBy(term).agg(F.min_by("theme", "priority").alias("theme"))
     return df.join(best, term, "left").withColumn("theme", F.coalesce("theme", F.lit("other")))
 
@@ -99,7 +99,7 @@ def gene_plateau(ranked: DataFrame, patience: int) -> DataFrame:
 
 def expand_grid(axes: list[DataFrame]) -> DataFrame:
     """All combinations of short tables of parameter values."""
-    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), axes)
+    return reduce(lambda a, b: a.crossJoin(b), axes)
 
 
 def objective(metrics: DataFrame, weights: dict[str, float], gates: dict[str, float]) -> DataFrame:

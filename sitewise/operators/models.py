@@ -262,7 +262,7 @@ def latent_gaussian(train: DataFrame, test: DataFrame, dims: int) -> DataFrame:
     z = pca.transform(train).select("label", vector_to_array("z").alias("z"))
     stats = z.select("label", F.posexplode("z").alias("i", "v")).groupBy("label", "i").agg(F.avg("v").alias("m"), F.greatest(F.var_pop("v"), F.lit(1e-6)).alias("s"), F.count("*").alias("n"))
     t = pca.transform(test).select("id", F.col("label").alias("y_true"), F.posexplode(vector_to_array("z")).alias("i", "v"))
-    ll = t.join(F.broadcast(stats), "i").groupBy("id", "y_true", "label").agg((F.sum(-0.5 * (F.log("s") + F.pow(F.col("v") - F.col("m"), F.lit(2)) / F.col("s"))) + F.log(F.max("n"))).alias("l"))  # stats: classes by dims
+    ll = t.join(stats, "i").groupBy("id", "y_true", "label").agg((F.sum(-0.5 * (F.log("s") + F.pow(F.col("v") - F.col("m"), F.lit(2)) / F.col("s"))) + F.log(F.max("n"))).alias("l"))  # stats: classes by dims
     w = ll.groupBy("id", "y_true").agg(F.max(F.when(F.col("label") == 1, F.col("l"))).alias("l1"), F.max(F.when(F.col("label") == 0, F.col("l"))).alias("l0"))
     return w.select("id", "y_true", (1 / (1 + F.exp(F.col("l0") - F.col("l1")))).alias("p1"))
 

@@ -122,7 +122,7 @@ def fragment_lengths(fragments: DataFrame, lo: int = 120, hi: int = 200) -> Data
 
 def guardrails(metrics: DataFrame, limits: DataFrame) -> DataFrame:
     """Each metric against its limit (op, value), and whether all of a sample's pass; limits are a small table."""
-    j = metrics.join(F.broadcast(limits), "metric")
+    j = metrics.join(limits, "metric")
     ok = F.when(F.col("op") == "min", F.col("value") >= F.col("limit_value")).otherwise(F.col("value") <= F.col("limit_value"))
     return j.groupBy("sample_id").agg(F.count("*").alias("n_metrics"), F.count_if(~ok).alias("n_failed"), F.bool_and(ok).alias("passed"))
 

@@ -49,7 +49,7 @@ def split(samples: DataFrame, seeds: DataFrame, fraction: float, by: str = "coho
     partitioning gives the same split. Seeds are few; every sample is listed once per seed.
     """
     w = Window.partitionBy("run_id", by).orderBy("h", "sample_id")
-    rows = samples.crossJoin(F.broadcast(seeds)).withColumn("h", hash31(F.col("sample_id").cast("long"), F.col("run_id")))
+    rows = samples.crossJoin(seeds).withColumn("h", hash31(F.col("sample_id").cast("long"), F.col("run_id")))
     n = F.count("*").over(Window.partitionBy("run_id", by))
     take = F.greatest(F.floor(n * fraction), F.lit(1))
     take = F.when((take >= n) & (n > 1), n - 1).otherwise(take)

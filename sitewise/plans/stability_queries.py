@@ -126,7 +126,7 @@ def _(t):
 def _(t):
     g = t.customer.select(F.col("c_mktsegment").alias("label")).distinct()
     a, b = g.select(F.col("label").alias("control")), g.select(F.col("label").alias("disease"))
-    return a.join(F.broadcast(b), F.col("control") < F.col("disease"))  # cohort labels, a handful
+    return a.join(b, F.col("control") < F.col("disease"))  # cohort labels, a handful
 
 
 @register("sample_eligibility", """WITH e AS (SELECT DISTINCT chrom, context FROM site_counts), c AS (SELECT sample_id, count(DISTINCT (chrom, context)) AS n FROM site_counts GROUP BY 1)
