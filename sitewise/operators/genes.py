@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import special
+from ..functions.incomplete import chi2_sf
 
 #: Default biology weights, feature to (hyper, hypo).
 FEATURE_WEIGHTS = {"promoter": (2.0, 1.0), "exon": (1.5, 1.0), "intron": (0.5, 0.7), "gene_body": (1.0, 1.0), "terminator": (0.5, 0.5)}
@@ -44,10 +45,11 @@ def stouffer(df: DataFrame, by: list[str], p: str = "p_value", weight: str = "w"
 
 
 def combine_p(df: DataFrame, by: list[str], p: str = "p_value") -> DataFrame:
-    """Combined p-values of each group: Fisher, Tippett, Simes, mean-z Stouffer, Edgington and Mudholkar-George.
+    """Combined p-values of each group: Fisher, Lancaster, Tippett, Simes, mean-z Stouffer, Edgington and Mudholkar-George.
 
     Edgington is the beta approximation below 20 values and the normal one from there. Lancaster
-    with degrees and weights is ``fit_tests.lancaster``.
+    has one degree for each value and no weights, so it is Fisher's value by the general
+    chi-square tail; with degrees and weights it is ``fit_tests.lancaster``.
     """
     from pyspark.sql import Window
 
@@ -61,5 +63,6 @@ def combine_p(df: DataFrame, by: list[str], p: str = "p_value") -> DataFrame:
     few = 1 - F.pow(F.least("sum_p", F.lit(1.0)), F.col("k"))
     edgington = F.when(F.col("k") < 20, few).otherwise(F.expr(special.norm_sf("((sum_p - k / 2E0) / sqrt(k / 12E0))")))
     fisher = F.expr(special.chi2_sf_even("fisher_stat", "k"))
-    g = g.withColumns({"fisher": fisher, "edgington": edgington, "mudholkar_george": F.expr(special.norm_sf("(sum_mg / sqrt(k))"))})
-    return g.select(*by, "k", "fisher_stat", (1 - F.pow(1 - F.col("p_min"), F.col("k"))).alias("tippett"), "simes", F.expr(special.norm_sf("mean_z")).alias("stouffer"), "fisher", "edgington", "mudholkar_george")
+    lancaster = chi2_sf(F.col("fisher_stat"), 2 * F.col("k"))
+    g = g.withColumns({"fisher": fisher, "lancaster": lancaster, "edgington": edgington, "mudholkar_george": F.expr(special.norm_sf("(sum_mg / sqrt(k))"))})
+    return g.select(*by, "k", "fisher_stat", (1 - F.pow(1 - F.col("p_min"), F.col("k"))).alias("tippett"), "simes", F.expr(special.norm_sf("mean_z")).alias("stouffer"), "fisher", "lancaster", "edgington", "mudholkar_george")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitewise.functions import incomplete as I
-from sitewise.operators import classify, clusters, derived, families, fit_tests, motifs, tiles
+from sitewise.operators import classify, clusters, derived, families, fit_tests, genes, motifs, tiles
 from sitewise.plans import fits_queries, registry
 from sitewise.plans.fixtures import Tables
 
@@ -101,6 +101,16 @@ def test_lancaster_is_fisher_only_with_equal_degrees(spark):
     assert odd["b"].p_combined is None
 
 
+def test_combine_p_has_all_seven_combiners(spark):
+    df = spark.createDataFrame([("a", 0.01), ("a", 0.2), ("a", 0.7), ("b", 1e-320), ("c", 1.0)], "g string, p_value double")
+    found = {r.g: r for r in genes.combine_p(df, ["g"]).collect()}
+    s = -2 * (math.log(0.01) + math.log(0.2) + math.log(0.7))
+    assert found["a"].lancaster == pytest.approx(math.exp(-s / 2) * (1 + s / 2 + s * s / 8), rel=1e-9)
+    assert found["b"].lancaster == pytest.approx(1e-300, rel=1e-9) and found["c"].lancaster == pytest.approx(1.0)
+    names = {"fisher", "stouffer", "lancaster", "tippett", "edgington", "mudholkar_george", "simes"}
+    assert names <= set(registry.queries()["gene_combine_p"](spark, "/root/testdata/sf0.001").columns)
+
+
 # -- tiles -----------------------------------------------------------------------------
 def enumerated(counts, stats, steps=20_000, rate=0.3):
     """Plain gradient ascent over all states, one tile at a time."""
