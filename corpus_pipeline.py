@@ -59,7 +59,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256) of each row; null and empty texts have no tokens."""
-    coded = bpe.encode(docs, TOKENIZER)
+    coded = bpe.encode(docs, TOKENIZER, lean=True)
     return coded.select(
         "doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

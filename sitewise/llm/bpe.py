@@ -17,6 +17,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,12 +41,15 @@ LOWER = {
     0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
     **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
 }
-#: Words whose ids a worker keeps, and their characters; beyond either the table starts anew.
-MAX_CACHED_WORDS, MAX_CACHED_CHARS = 200_000, 20_000_000
+#: Words whose ids a worker keeps from one group to the next, their characters, and known pairs of
+#: tokens. From there a table starts anew, and words of the table before it move over when met again.
+MAX_CACHED_WORDS, MAX_CACHED_CHARS, MAX_CACHED_FITS = 100_000, 10_000_000, 200_000
+#: The same words, and bytes of a group, where a worker shares its memory with those of other stages.
+LEAN_WORDS, LEAN_BYTES = 10_000, 200_000
 #: Symbols from which a word is merged by a heap.
 LONG_WORD = 64
-#: Texts are handed back in groups of about so many characters.
-GROUP_CHARS = 1_000_000
+#: Texts are turned into Python's strings and handed back in groups of about so many bytes.
+GROUP_BYTES = 1_000_000
 
 
 def byte_letters() -> list[str]:
@@ -82,7 +87,10 @@ class WordBpe:
         self.fits: dict[int, bool] = {}
         self.word_ids: dict[str, bytes] = {}
         self.word_text: dict[str, str] = {}
+        self.old_ids: dict[str, bytes] = {}
+        self.old_text: dict[str, str] = {}
         self.cached_chars = 0
+        self.max_words = MAX_CACHED_WORDS
 
     # -- one word ---------------------------------------------------------------
     def symbols(self, text: str) -> list[str]:
@@ -175,15 +183,19 @@ class WordBpe:
         return self.fits[pair]
 
     def learn(self, words: set[str]) -> None:
-        """Add words to the tables of ids bytes and decoded bytes."""
-        new = list(words.difference(self.word_ids))
-        if len(self.word_ids) + len(new) > MAX_CACHED_WORDS or self.cached_chars > MAX_CACHED_CHARS:
-            self.word_ids.clear()
-            self.word_text.clear()
+        """Have words in the tables of ids bytes and decoded text."""
+        if len(self.word_ids) > self.max_words or self.cached_chars > MAX_CACHED_CHARS:
+            self.old_ids, self.old_text = self.word_ids, self.word_text
+            self.word_ids, self.word_text, self.cached_chars = {}, {}, 0
+        if len(self.fits) > MAX_CACHED_FITS:
             self.fits.clear()
-            self.cached_chars = 0
-            new = list(words)
-        self.cached_chars += sum(map(len, new))
+        missing, new = words.difference(self.word_ids), []
+        self.cached_chars += sum(map(len, missing))
+        for w in missing:
+            if (known := self.old_ids.get(w)) is None:
+                new.append(w)
+            else:
+                self.word_ids[w], self.word_text[w] = known, self.old_text[w]
         letters, names = self.letters, self.names
         coded = ["".join([letters[b] for b in w.encode("utf-8", "replace")]) + END for w in new]
         for w, ids in zip(new, self.encode_words(coded)):
@@ -237,35 +249,42 @@ def load(path: str) -> WordBpe:
     return _loaded[path]
 
 
-def _groups(texts: list[str]) -> Iterator[slice]:
+def _groups(batch: pa.RecordBatch, most: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
     start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= GROUP_CHARS:
-            yield slice(start, i + 1)
+    for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()):
+        size += n
+        if size >= most:
+            yield batch.slice(start, i + 1 - start)
             start, size = i + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, lean: bool) -> Iterator[pa.RecordBatch]:
+    model = load(path)
+    model.max_words = LEAN_WORDS if lean else MAX_CACHED_WORDS
+    for b in batches:
+        for part in _groups(b, LEAN_BYTES if lean else GROUP_BYTES):
+            found = model.encode_texts(part.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.string())], ["doc_id", "ids", "decoded"])
+    if lean:
+        del model
+        _loaded.clear()
+    pa.default_memory_pool().release_unused()  # an idle worker keeps no batches
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lean: bool = False) -> DataFrame:
     """(doc_id, ids, decoded) per row: ids as little-endian unsigned 32-bit integers.
 
     Every code point alone is split and lower-cased as in the library (tested); tables that
     differ between Unicode versions are stated above.
     Null and empty texts have no ids and decode to the empty string; repeated rows get
     equal results. Whole texts are encoded; only tokens of words are kept between batches.
+    ``lean`` keeps fewer words and gives the model back after each task, for workers that idle
+    beside those of other stages; it costs CPU time and changes no result.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = load(path)
-        for b in batches:
-            texts = b["text"].tolist()
-            for part in _groups(texts):
-                found = model.encode_texts(texts[part])
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[part].to_numpy(), "ids": [x for x, _ in found], "decoded": [y for _, y in found]})
-
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, decoded string")
+    return rows.mapInArrow(lambda batches: _encoded(batches, path, lean), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, decoded string")
 
 
 def decode(coded: DataFrame, path: str, ids_col: str = "ids", to_col: str = "decoded") -> DataFrame:
