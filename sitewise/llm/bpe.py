@@ -4,13 +4,16 @@ A word is first cut by greedy longest match over the vocabulary. The cut equals
 merge result if every pair of neighbouring tokens is compatible, that is, if merging the
 two tokens' own text gives back these two tokens. All neighbouring pairs of a batch of new
 words are tested at once against a table of known pairs; only words with an incompatible
-pair are merged exactly.
+pair are merged exactly. Words are cut together, each array step reading one letter of every
+word; texts of new pairs and failing words are merged together, each step doing one merge in
+every text that has one left.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
+import re
 import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -46,8 +49,14 @@ LOWER = {
 MAX_CACHED_WORDS, MAX_CACHED_CHARS, MAX_CACHED_FITS = 100_000, 10_000_000, 200_000
 #: The same words, and bytes of a group, where a worker shares its memory with those of other stages.
 LEAN_WORDS, LEAN_BYTES = 10_000, 200_000
-#: Symbols from which a word is merged by a heap.
-LONG_WORD = 64
+#: Symbols from which a word is cut alone and merged by a heap, and shorter texts merged together.
+LONG_WORD, MERGED_TEXTS = 64, 4_096
+#: Code points of byte letters are below; in the tree of tokens it stands for the end mark.
+MARK = 512
+#: Stands for the rank of a pair that does not merge.
+NO_RANK = 1 << 30
+#: Fixed value: code points below it, none of them in the tables above, take the shorter patterns.
+LOW = 0x558
 #: Texts are turned into Python's strings and handed back in groups of about so many bytes.
 GROUP_BYTES = 1_000_000
 
@@ -59,6 +68,15 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(spare)) for b in range(256)]
 
 
+def low_pattern(split: str, end: int) -> re.Pattern:
+    """The splitting pattern for lower-cased texts of code points below ``end``, its classes listed."""
+    chars = "".join(sorted({x for c in range(end) for x in chr(c).lower()}))
+    kind = {k: re.escape("".join(regex.findall(k, chars))) for k in (r"\p{L}", r"\p{N}", r"\s")}
+    for k, listed in kind.items():
+        split = split.replace(k, listed)
+    return re.compile(split)
+
+
 class WordBpe:
     """A word-level BPE model read from a public tokenizer file."""
 
@@ -75,6 +93,9 @@ class WordBpe:
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.rank = {(mark(a), mark(b)): r for r, (a, b) in enumerate(merges)}
         self.texts = {i: t for t, i in self.ids.items()}
+        # Merges by the ids of their pair, in order, with a last one that no pair has.
+        found = sorted((self.ids[a] * len(self.names) + self.ids[b], r, self.ids[a + b]) for (a, b), r in self.rank.items())
+        self.pair_keys, self.pair_ranks, self.pair_ids = np.array([*found, (1 << 62, NO_RANK, 0)], np.int64).T.copy()
         self.longest = max(map(len, self.ids))
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(split)
@@ -84,6 +105,14 @@ class WordBpe:
         self.rare_pattern = regex.compile("(?V1)" + split.replace(r"[\p{L}]", kind["L"]).replace(r"[^\s\p{L}\p{N}]", rf"[^\s{kind['L']}{kind['N']}]").replace(r"[\p{N}]", kind["N"]))
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.letters = byte_letters()
+        self.edges, self.edge_tokens = self.token_tree()
+        # Ids of single letters by code point: inside a word, and with the end mark.
+        self.inner, self.final = np.zeros((2, ord(END) + 1), np.int64)
+        for c in self.letters:
+            self.inner[ord(c)], self.final[ord(c)] = self.ids[c], self.ids[c + END]
+        self.high = re.compile(f"[{chr(LOW)}-\U0010ffff]")
+        self.ascii_pattern = low_pattern(split, 128)
+        self.low_pattern = low_pattern(split, LOW)
         self.fits: dict[int, bool] = {}
         self.word_ids: dict[str, bytes] = {}
         self.word_text: dict[str, str] = {}
@@ -92,6 +121,28 @@ class WordBpe:
         self.cached_chars = 0
         self.max_words = MAX_CACHED_WORDS
 
+    def token_tree(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys (node, letter) of all beginnings of tokens, and the token that ends there or -1. Edge i leads to node i + 1, the root is 0."""
+        names = [*self.ids]
+        width = np.fromiter(map(len, names), np.int64, len(names))
+        letters = np.full((len(names), self.longest), -1, np.int16)
+        flat = np.frombuffer("".join(names).encode("utf-32-le"), "<u4")
+        letters[np.arange(self.longest) < width[:, None]] = np.where(flat == ord(END), MARK, flat)
+        tokens = np.fromiter(self.ids.values(), np.int64, len(names))
+        node, keys, ends, size = np.zeros(len(names), np.int64), [], [], 0
+        for depth in range(self.longest):
+            more = width > depth
+            letters, tokens, width, node = letters[more], tokens[more], width[more], node[more]
+            found, place = np.unique(node * (MARK + 1) + letters[:, depth], return_inverse=True)
+            end = np.full(len(found), -1)
+            last = width == depth + 1
+            end[place[last]] = tokens[last]
+            keys.append(found)
+            ends.append(end)
+            node, size = size + place + 1, size + len(found)
+        # The last key is that of no edge.
+        return np.append(np.concatenate(keys), 1 << 62), np.append(np.concatenate(ends), -1)
+
     # -- one word ---------------------------------------------------------------
     def symbols(self, text: str) -> list[str]:
         """Characters, the last one joined with the end mark."""
@@ -135,6 +186,57 @@ class WordBpe:
                 heapq.heappush(heap, (new, h))
         return [self.ids[s] for s in symbols if s]
 
+    def merge_many(self, texts: list[str]) -> list[list[int]]:
+        """``merge`` of each text. Short ones lie in rows; each step merges the best pair of every row and takes finished rows out."""
+        out: list[list[int]] = [[]] * len(texts)
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        order = np.argsort(lengths, kind="stable")
+        short = int(np.searchsorted(lengths[order], LONG_WORD))
+        for i in order[short:]:
+            out[i] = self.merge(self.symbols(texts[i]))
+        for k in range(0, short, MERGED_TEXTS):
+            place = order[k:min(k + MERGED_TEXTS, short)]
+            self.merge_rows([texts[i] for i in place], lengths[place], place, out)
+        return out
+
+    def merge_rows(self, texts: list[str], lengths: np.ndarray, place: np.ndarray, out: list[list[int]]) -> None:
+        """Puts the ids of each text at its place of ``out``."""
+        flat = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.int64)
+        inside = flat != ord(END)
+        ended = ~np.append(inside[1:], True)
+        ids = np.where(ended, self.final[flat], self.inner[flat])[inside]
+        owner = np.repeat(np.arange(len(texts)), lengths)[inside]
+        sizes = np.bincount(owner, minlength=len(texts))
+        rows = np.full((len(texts), sizes.max()), -1)
+        rows[np.arange(rows.shape[1]) < sizes[:, None]] = ids
+        # The rank of each symbol with the next; the last column has none.
+        ranks = np.full(rows.shape, NO_RANK)
+        ranks[:, :-1], _ = self.look_up(rows[:, :-1], rows[:, 1:])
+        while len(rows):
+            best = ranks.argmin(1)
+            going = ranks[np.arange(len(rows)), best] < NO_RANK
+            for i, row, n in zip(place[~going].tolist(), rows[~going].tolist(), sizes[~going].tolist()):
+                out[i] = row[:n]
+            rows, ranks, best, place, sizes = (x[going] for x in (rows, ranks, best, place, sizes))
+            at, sizes = np.arange(len(rows)), sizes - 1
+            _, new = self.look_up(rows[at, best], rows[at, best + 1])
+            # One symbol and one rank less in every row; the ranks beside the new symbol change.
+            left = np.arange(rows.shape[1] - 1) < best[:, None]
+            rows = np.where(left, rows[:, :-1], rows[:, 1:])
+            ranks = np.where(left, ranks[:, :-1], ranks[:, 1:])
+            rows[at, best] = new
+            a, b = at[best > 0], best[best > 0]
+            ranks[a, b - 1], _ = self.look_up(rows[a, b - 1], rows[a, b])
+            a, b = at[best < rows.shape[1] - 1], best[best < rows.shape[1] - 1]
+            ranks[a, b], _ = self.look_up(rows[a, b], rows[a, b + 1])
+
+    def look_up(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of each pair, or NO_RANK, and the id it merges into; -1 stands for no symbol."""
+        key = a * len(self.names) + b
+        i = np.searchsorted(self.pair_keys, key)
+        hit = (self.pair_keys[i] == key) & (b >= 0)
+        return np.where(hit, self.pair_ranks[i], NO_RANK), self.pair_ids[i]
+
     def propose(self, text: str) -> list[int]:
         """Greedy longest match; the end mark never stands alone."""
         out, i, n, ids = [], 0, len(text), self.ids
@@ -150,19 +252,52 @@ class WordBpe:
         return out
 
     # -- many words -------------------------------------------------------------
+    def propose_many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``propose`` of each word: all tokens in order, and the word of each. Words walk the tree together, each step by one letter."""
+        long = [(i, self.propose(w)) for i, w in enumerate(words) if len(w) >= LONG_WORD]
+        owners = [np.repeat(np.array([i for i, _ in long], np.int64), [len(p) for _, p in long])]
+        tokens = [np.array([k for _, p in long for k in p], np.int64)]
+        word = np.array([i for i, w in enumerate(words) if len(w) < LONG_WORD], np.int64)
+        letters = np.frombuffer("".join([w for w in words if len(w) < LONG_WORD]).encode("utf-32-le"), "<u4").astype(np.int64)
+        letters[letters == ord(END)] = MARK
+        end = np.flatnonzero(letters == MARK) + 1
+        at = np.append(0, end[:-1]) if len(end) else end
+        node, token, token_end = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64), at
+        while len(word):
+            key = node * (MARK + 1) + letters[at]
+            edge = np.searchsorted(self.edges, key)
+            hit = self.edges[edge] == key
+            at, node = at + 1, edge + 1
+            ends = self.edge_tokens[edge]
+            # The end mark never stands alone.
+            longer = hit & (ends >= 0) & (at != end - 1)
+            token, token_end = np.where(longer, ends, token), np.where(longer, at, token_end)
+            stop = np.flatnonzero(~hit | (at == end))
+            if len(stop):
+                owners.append(word[stop])
+                tokens.append(token[stop])
+                at[stop], node[stop] = token_end[stop], 0
+                if len(done := stop[token_end[stop] == end[stop]]):
+                    stay = np.ones(len(word), bool)
+                    stay[done] = False
+                    word, at, end, node, token, token_end = (x[stay] for x in (word, at, end, node, token, token_end))
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(tokens)[order], owner[order]
+
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Token ids of byte-letter words that end with END."""
-        proposed = [self.propose(w) for w in words]
-        lengths = np.fromiter(map(len, proposed), np.int64, len(proposed))
-        flat = np.fromiter((k for p in proposed for k in p), np.int64, int(lengths.sum()))
-        owner = np.repeat(np.arange(len(words)), lengths)
+        flat, owner = self.propose_many(words)
+        lengths = np.bincount(owner, minlength=len(words))
+        ends, ids = lengths.cumsum().tolist(), flat.tolist()
+        proposed = [ids[a:b] for a, b in zip([0, *ends], ends)]
         inside = owner[1:] == owner[:-1]
         pairs = (flat[:-1] << 32 | flat[1:])[inside]
         distinct, place = np.unique(pairs, return_inverse=True)
-        fits = np.fromiter((self.compatible(p) for p in distinct.tolist()), bool, len(distinct))
-        failing = np.unique(owner[1:][inside][~fits[place]]) if len(pairs) else []
-        for i in failing:
-            proposed[i] = self.merge(self.symbols(words[i]))
+        fits = np.array(self.compatible(distinct.tolist()), bool)
+        failing = np.unique(owner[1:][inside][~fits[place]]).tolist() if len(pairs) else []
+        for i, ids in zip(failing, self.merge_many([words[i] for i in failing])):
+            proposed[i] = ids
         # A token that merging itself never makes cannot stand in a proposal of one token.
         for i in np.flatnonzero(lengths == 1):
             if not self.reachable(proposed[i][0]):
@@ -175,12 +310,12 @@ class WordBpe:
             self.fits[key] = self.merge(self.symbols(self.texts[token])) == [token]
         return self.fits[key]
 
-    def compatible(self, pair: int) -> bool:
-        """Whether merging the text of both tokens gives exactly them."""
-        if pair not in self.fits:
-            a, b = pair >> 32, pair & 0xFFFFFFFF
-            self.fits[pair] = self.merge(self.symbols(self.texts[a] + self.texts[b])) == [a, b]
-        return self.fits[pair]
+    def compatible(self, pairs: list[int]) -> list[bool]:
+        """Whether merging the text of both tokens gives exactly them, for each pair."""
+        new = [(p, p >> 32, p & 0xFFFFFFFF) for p in pairs if p not in self.fits]
+        for (p, a, b), ids in zip(new, self.merge_many([self.texts[a] + self.texts[b] for _, a, b in new])):
+            self.fits[p] = ids == [a, b]
+        return [self.fits[p] for p in pairs]
 
     def learn(self, words: set[str]) -> None:
         """Have words in the tables of ids bytes and decoded text."""
@@ -197,7 +332,8 @@ class WordBpe:
             else:
                 self.word_ids[w], self.word_text[w] = known, self.old_text[w]
         letters, names = self.letters, self.names
-        coded = ["".join([letters[b] for b in w.encode("utf-8", "replace")]) + END for w in new]
+        # Printable ASCII letters are their own byte letters.
+        coded = [(w if w.isascii() and w.isprintable() else "".join([letters[b] for b in w.encode("utf-8", "replace")])) + END for w in new]
         for w, ids in zip(new, self.encode_words(coded)):
             self.word_ids[w] = struct.pack(f"<{len(ids)}I", *ids)
             self.word_text[w] = " ".join([names[i] for i in ids])
@@ -211,9 +347,12 @@ class WordBpe:
             elif part:
                 # White space of any kind only parts words, so it needs no replacing here.
                 part = unicodedata.normalize("NFC", part)
-                rare = not part.isascii() and self.rare.search(part)
+                plain = part.isascii()
+                high = not plain and self.high.search(part)
+                rare = high and self.rare.search(part)
                 part = (part.translate(LOWER) if rare else part).replace("Σ", "σ").lower()
-                out.append((self.rare_pattern if rare else self.pattern).findall(part))
+                pattern = self.ascii_pattern if plain else self.rare_pattern if rare else self.pattern if high else self.low_pattern
+                out.append(pattern.findall(part))
         return out
 
     def encode_texts(self, texts: list[str]) -> list[tuple[bytes, str]]:
