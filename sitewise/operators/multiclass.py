@@ -135,12 +135,13 @@ def panel_readout(fused: DataFrame, families: dict[str, list[int]], primary: str
     """(id, label, family logits): healthy where class 0 leads, else by the leading head's family.
 
     Indeterminate where no head has evidence or the lead over the second head is below
-    ``delta``. Ties go to the smaller class.
+    ``delta``. Ties go to the smaller class; logits tie, and a lead reaches ``delta``, within 1e-9,
+    so the last bits of averages do not decide.
     """
-    order = F.array_sort(F.transform("logits", lambda x, i: F.struct((-F.coalesce(x, F.lit(-1e300))).alias("m"), i.alias("k"))))
+    order = F.array_sort(F.transform("logits", lambda x, i: F.struct((-F.round(F.coalesce(x, F.lit(-1e300)), 9)).alias("m"), i.alias("k"))))
     best, second = F.element_at(order, 1), F.element_at(order, 2)
     family_max = {n: F.array_max(F.array(*[F.element_at("logits", k + 1) for k in ks])) for n, ks in families.items()}
-    label = F.when(F.forall("logits", lambda x: x.isNull()), READOUTS[3]).when(best["k"] == 0, READOUTS[0]).when(second["m"] - best["m"] < delta, READOUTS[3])
+    label = F.when(F.forall("logits", lambda x: x.isNull()), READOUTS[3]).when(best["k"] == 0, READOUTS[0]).when(second["m"] - best["m"] < delta - 1e-9, READOUTS[3])
     label = label.when(best["k"].isin(families[primary]), READOUTS[1]).otherwise(READOUTS[2])
     return fused.select("id", label.alias("label"), *[v.alias(f"{n}_logit") for n, v in family_max.items()])
 
