@@ -14,12 +14,28 @@ PEPTIDE_COLUMNS = ("peptide", "stripped_peptide", "charge", "q_value", "score",
 SAMPLE_COLUMNS = ("sampleid", "sample_id", "sample")
 FEATURE_COLUMNS = ("olinkid", "assay", "uniprot", "seqid", "feature_id", "protein", "target")
 VALUE_COLUMNS = ("npx", "rfu", "value", "quantity", "intensity")
+#: Samples that are written to a folder each; a folder and its file cost tens of milliseconds on a local disk.
+MAX_FOLDERS = 1000
 
 
 def _table(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     return spark.read.csv(path, header=header, sep="\t", inferSchema=False)
 
 
+def write_tables(rows: DataFrame, path: str, header: bool = True, folders: int = MAX_FOLDERS) -> None:
+    """Tab-separated tables, one folder ``sample_id=NAME`` with one file a sample, for up to ``folders`` samples.
+
+    Rows are dealt by sample first, so files grow with samples and not with samples times tasks;
+    their number of tasks is given, as opening files takes longer than the rows. More samples
+    share files, with the sample in the last column, where readers of folders find it too.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if rows.select("sample_id").distinct().limit(folders + 1).count() <= folders:
+        rows.repartition(parts, "sample_id").write.partitionBy("sample_id").csv(path, header=header, sep="\t")
+    else:
+        rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != "sample_id"], "sample_id").write.csv(path, header=header, sep="\t")
+
+
 def _named(df: DataFrame, names: tuple[str, ...]) -> str | None:
     lower = {c.lower(): c for c in reversed(df.columns)}
     return next((lower[n] for n in names if n in lower), None)
