@@ -135,7 +135,7 @@ def _(t):
     path = new_path(t.spark, "star")
     genes = t.lineitem.select(F.col("l_suppkey").cast("string").alias("sample_id"), F.concat(F.lit("G"), (F.col("l_partkey") % 40).cast("string")).alias("gene"), F.col("l_quantity").alias("a"), F.col("l_linenumber").alias("b"), F.lit(0).alias("c"))
     head = genes.select("sample_id").distinct().select("sample_id", F.explode(F.array(*[F.lit(n) for n in ("N_unmapped", "N_multimapping", "N_noFeature", "N_ambiguous")])).alias("gene"), *[F.lit(7).alias(c) for c in "abc"])
-    head.unionByName(genes).write.partitionBy("sample_id").csv(path, header=False, sep="\t")
+    expression.write_tables(head.unionByName(genes), path, header=False)
     return expression.read_star_counts(t.spark, path, 1)
 
 
