@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import special
 from ..shared import materialize
 from . import fdr
+from .running import running
 
 
 def pathway_key(term: Column) -> Column:
@@ -111,19 +116,107 @@ def degrees(edges: DataFrame) -> DataFrame:
     return d.crossJoin(F.broadcast(s)).select("node", "degree", "strength", (F.col("degree") / F.greatest(F.col("n") - 1, F.lit(1))).alias("centrality"), scaled.alias("hub_score"))
 
 
-def module_coherence(modules: DataFrame, edges: DataFrame, scores: DataFrame) -> DataFrame:
-    """0.4 density + 0.3 mean hub score + 0.3 largest component share, for each module of (module, node)."""
-    a, b = modules.select("module", F.col("node").alias("src")), modules.select("module", F.col("node").alias("dst"))
-    inside = edges.where("src <> dst").join(a, "src").join(b, ["module", "dst"])
+def inside_edges(modules: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b, modules) and (module, m): numbers of an edge's ends and of the modules that hold both, loops and edges without one left out.
+
+    Each node carries the numbers of its modules, so an edge stays one row and meets each end
+    once; its modules are the intersection.
+    """
+    members = modules.select("module", "node").distinct()
+    number = lambda c: running(members.select(c).distinct().withColumn("one", F.lit(1)), [], [c], {"k": "one"}).select(c, (F.col("k") - 1).alias(f"__{c}"))
+    numbered = materialize(members.join(number("module"), "module"), "members")
+    of = materialize(numbered.groupBy("node").agg(F.collect_set("__module").alias("ms")).join(number("node"), "node"), "nodes-modules")
+    end = lambda side, k: of.select(F.col("node").alias(side), F.col("__node").alias(k), F.col("ms").alias(f"m{k}"))
+    both = edges.where("src <> dst").select("src", "dst").join(end("src", "a"), "src").join(end("dst", "b"), "dst")
+    return both.select("a", "b", F.array_intersect("ma", "mb").alias("modules")).where(F.size("modules") > 0), numbered.select("module", F.col("__module").alias("m")).distinct()
+
+
+def _forest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from the least to every other node of each component of the edges x-y."""
+    names, place = np.unique(np.concatenate([x, y]), return_inverse=True)
+    u, v = place[:len(x)], place[len(x):]
+    label = np.arange(len(names))
+    while len(u):
+        low = np.minimum(label[u], label[v])
+        np.minimum.at(label, label[u], low)
+        np.minimum.at(label, label[v], low)
+        while (up := label[label]).tobytes() != label.tobytes():
+            label = up
+        open_ = label[u] != label[v]
+        u, v = u[open_], v[open_]
+    child = np.flatnonzero(label != np.arange(len(names)))
+    return names[label[child]], names[child]
+
+
+def _reduce_edges(rows: DataFrame, limit: int = 4_000_000) -> DataFrame:
+    """(m, a, b) edges of the same components in each module, fewer than the exploded rows (a, b, modules).
+
+    A task gathers up to ``limit`` edges and replaces them by a forest; where that stays large it
+    is handed on, so memory is bounded whatever a module's size.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def reduced() -> list[tuple[int, np.ndarray, np.ndarray]]:
+            m, a, b = (np.concatenate(c) for c in zip(*held))
+            order = np.argsort(m, kind="stable")
+            cuts = np.flatnonzero(np.diff(m[order])) + 1
+            return [(int(m[k[0]]), *_forest(a[k], b[k])) for k in np.split(order, cuts) if len(k)]
+
+        def emit(parts: list) -> Iterator[pa.RecordBatch]:
+            for m, a, b in parts:
+                for at in range(0, len(a), 1_000_000):
+                    x, y = a[at:at + 1_000_000], b[at:at + 1_000_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(np.full(len(x), m))], ["a", "b", "m"])
+
+        for batch in batches:
+            lists = batch.column(2)
+            n = np.diff(np.asarray(lists.offsets))
+            held.append((np.asarray(lists.flatten()), np.repeat(np.asarray(batch.column(0)), n), np.repeat(np.asarray(batch.column(1)), n)))
+            size += len(held[-1][0])
+            if size >= limit:
+                parts = reduced()
+                held = [(np.full(len(a), m), a, b) for m, a, b in parts]
+                size = sum(len(a) for _, a, _ in parts)
+                if size >= limit / 2:
+                    yield from emit(parts)
+                    held, size = [], 0
+        if size:
+            yield from emit(reduced())
+
+    return rows.select("a", "b", "modules").mapInArrow(run, "a long, b long, m long")
+
+
+def module_density(modules: DataFrame, edges: DataFrame) -> DataFrame:
+    """(module, n, density): nodes of each module, and the share of their pairs that are edges."""
+    inside, names = inside_edges(modules, edges)
+    return _density(modules, inside, names)
+
+
+def _density(modules: DataFrame, inside: DataFrame, names: DataFrame) -> DataFrame:
     n = modules.groupBy("module").agg(F.count("*").alias("n"))
-    e = inside.groupBy("module").agg(F.count("*").alias("e"))
-    at = lambda c: F.struct("module", F.col(c).alias("node")).alias(c)
-    largest = components(inside.select(at("src"), at("dst"))).groupBy(F.col("node.module").alias("module"), "component").agg(F.count("*").alias("s")).groupBy("module").agg(F.max("s").alias("largest"))
-    hub = modules.join(scores, "node", "left").groupBy("module").agg(F.avg(F.coalesce("hub_score", F.lit(0.0))).alias("hub"))
-    j = n.join(e, "module", "left").join(hub, "module").join(largest, "module", "left")
+    e = inside.select(F.explode("modules").alias("m")).groupBy("m").agg(F.count("*").alias("e")).join(names, "m").select("module", "e")
     density = F.when(F.col("n") > 1, 2 * F.coalesce("e", F.lit(0)) / (F.col("n") * (F.col("n") - 1))).otherwise(F.lit(0.0))
+    return n.join(e, "module", "left").select("module", "n", density.alias("density"))
+
+
+def module_coherence(modules: DataFrame, edges: DataFrame, scores: DataFrame) -> DataFrame:
+    """0.4 density + 0.3 mean hub score + 0.3 largest component share, for each module of (module, node).
+
+    Edges inside modules are replaced by forests, first where they are and then module by
+    module, before components are sought.
+    """
+    inside, names = inside_edges(modules, edges)
+    inside = materialize(inside, "inside")
+    forest = materialize(_reduce_edges(inside), "forest")
+    forest = materialize(_reduce_edges(forest.repartition("m").select("a", "b", F.array("m").alias("modules"))), "forest")
+    at = lambda c: F.struct("m", F.col(c).alias("node")).alias(c)
+    found = components(forest.select(at("a").alias("src"), at("b").alias("dst")))
+    largest = found.groupBy(F.col("node.m").alias("m"), "component").agg(F.count("*").alias("s")).groupBy("m").agg(F.max("s").alias("largest")).join(names, "m").select("module", "largest")
+    hub = modules.join(scores, "node", "left").groupBy("module").agg(F.avg(F.coalesce("hub_score", F.lit(0.0))).alias("hub"))
+    j = _density(modules, inside, names).join(hub, "module").join(largest, "module", "left")
     share = F.coalesce("largest", F.lit(1)) / F.col("n")
-    return j.select("module", "n", density.alias("density"), share.alias("largest_share"), (0.4 * density + 0.3 * F.col("hub") + 0.3 * share).alias("coherence"))
+    return j.select("module", "n", "density", share.alias("largest_share"), (0.4 * F.col("density") + 0.3 * F.col("hub") + 0.3 * share).alias("coherence"))
 
 
 def label_propagation(edges: DataFrame, rounds: int = 5) -> DataFrame:
