@@ -3,40 +3,23 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..shared import new_path
 
 
 def recurrence_stream(stream: DataFrame, key: list[str], run: str = "run_id", effect: str = "effect_size") -> DataFrame:
-    """(key, n_runs, sum_effect, n_positive) of each key that a batch touches, after that batch.
+    """(key, n_runs, sum_effect, n_positive) of each key that gets a new run from a batch, after that batch.
 
-    A key's state holds the runs it was seen in and its sums; a run counts once for a key, with
-    the first effect that arrives, whichever batch brings it again. The state grows with keys and
-    runs, not with rows, and is kept in the query's checkpoint.
+    A run counts once for a key, with the first effect that arrives, whichever batch brings it
+    again: pairs of key and run seen before are dropped, and sums by key are kept. Both states
+    are Spark's own, grow with keys and runs, not with rows, and are kept in the query's checkpoint.
     """
-    schema = stream.schema
-    keys = ", ".join(f"`{k}` {schema[k].dataType.simpleString()}" for k in key)
-
-    def update(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        runs, total, positive = state.get if state.exists else ([], 0.0, 0)
-        seen = set(runs)
-        for part in parts:
-            for r, e in zip(part["r"].tolist(), part["e"].tolist()):
-                if r not in seen:
-                    seen.add(r)
-                    total, positive = total + e, positive + int(e > 0)
-        state.update((sorted(seen), total, positive))
-        yield pd.DataFrame([[*k, len(seen), total, positive]], columns=[*key, "n_runs", "sum_effect", "n_positive"])
-
+    e = F.col("e")
     rows = stream.select(*key, F.col(run).cast("long").alias("r"), F.coalesce(F.col(effect).cast("double"), F.lit(0.0)).alias("e")).where("r is not null")
-    return rows.groupBy(*key).applyInPandasWithState(
-        update, f"{keys}, n_runs long, sum_effect double, n_positive long", "runs array<bigint>, total double, positive bigint", "update", GroupStateTimeout.NoTimeout)
+    return rows.dropDuplicates([*key, "r"]).groupBy(*key).agg(F.count("*").alias("n_runs"), F.sum(e).alias("sum_effect"), F.count_if(e > 0).alias("n_positive"))
 
 
 def run_updates(stream: DataFrame, path: str, checkpoint: str) -> None:

@@ -77,3 +77,10 @@ def test_early_stop_ends_at_the_batch_twins_run(spark, tmp_path):
     assert max(log) == want and log[want].stop and not any(log[k].stop for k in log if k < want)
     counts = {r.pos: r.n for r in spark.read.parquet(f"{tmp_path}/state/counts/k={want}").collect()}
     assert counts == {p: c for p in {x for r in runs[:want] for x in r} if (c := sum(p in r for r in runs[:want]))}
+
+
+def test_recurrence_keeps_its_state_without_python(spark, tmp_path):
+    """A Python call for each key and batch took most of the time."""
+    stream = jobs.read_stream(spark, str(tmp_path), spark.createDataFrame([], SCHEMA).schema)
+    plan = recurrence_stream(stream, ["pos"])._jdf.queryExecution().logical().toString()
+    assert "PandasWithState" not in plan and "Deduplicate" in plan
