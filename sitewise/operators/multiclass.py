@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import materialize
 from .centroid import KEY, level_bin
 from .derived import FrozenSchema
 from .models import softmax, weighted_mean
@@ -123,8 +124,10 @@ def score_feature_heads(long: DataFrame, schema: FrozenSchema, heads: DataFrame,
 def learned_head(scores: DataFrame, labels: DataFrame, ridge: float = 0.01) -> tuple[PipelineModel, DataFrame]:
     """A multinomial logistic model on standardised class scores, and (sample_id, p) of all samples of ``scores``.
 
-    Labels are class numbers; samples without one are only scored.
+    Labels are class numbers; samples without one are only scored. Scores and labels, a row a
+    sample, are written once, as the fits read them several times.
     """
+    scores, labels = materialize(scores.select("sample_id", "scores"), "scores"), materialize(labels, "labels")
     rows = scores.select("sample_id", array_to_vector("scores").alias("raw"))
     train = rows.join(labels.where("label is not null").select("sample_id", F.col("label").cast("double").alias("label")), "sample_id")
     model = Pipeline(stages=[StandardScaler(inputCol="raw", outputCol="features", withMean=True), LogisticRegression(family="multinomial", regParam=ridge)]).fit(train)
