@@ -162,9 +162,13 @@ def chromosome_expert(scores: DataFrame, weights: DataFrame) -> DataFrame:
 
 
 def fit_chromosome_weights(scores: DataFrame, labels: DataFrame, chroms: list[str], ridge: float = 0.01, mix: float = 0.5) -> DataFrame:
-    """(chrom, weight): elastic-net coefficients of the chromosomes' probabilities, negative ones at 0, scaled to sum 1; even if all are 0."""
+    """(chrom, weight): elastic-net coefficients of the chromosomes' probabilities, negative ones at 0, scaled to sum 1; even if all are 0.
+
+    What the fit reads, a row a sample, is written once.
+    """
     p = scores.select("sample_id", "chrom", (1 / (1 + F.exp(F.element_at("scores", 1) - F.element_at("scores", 2)))).alias("p"))
     wide = p.groupBy("sample_id").pivot("chrom", chroms).agg(F.first("p")).na.fill(0.5).join(labels, "sample_id")
+    wide = materialize(wide, "chromosome-scores")
     rows = VectorAssembler(inputCols=chroms, outputCol="features").transform(wide).select("features", F.col("label").cast("double").alias("label"))
     found = [max(float(c), 0.0) for c in LogisticRegression(regParam=ridge, elasticNetParam=mix).fit(rows).coefficients]
     total = sum(found)
